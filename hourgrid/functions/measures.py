@@ -68,9 +68,9 @@ def matches(c: str | Column, pattern: str) -> Column:
     """Regular-expression search. A pattern without special characters becomes a
     substring test, which parquet scans can use to skip data."""
     c = F.col(c) if isinstance(c, str) else c
-    if re.escape(pattern).replace("\\", "") == pattern and not re.search(r"[.^$*+?{}\[\]|()\\]", pattern):
-        return c.contains(pattern)
-    return c.rlike(pattern)
+    if re.search(r"[.^$*+?{}\[\]|()\\]", pattern):
+        return c.rlike(pattern)
+    return c.contains(pattern)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

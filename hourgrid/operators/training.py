@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
+from hourgrid.operators.quantile import quantile_columns
 
 
 def with_step_index(
@@ -120,3 +121,15 @@ def with_instance_norm(
         "past_norm",
         F.transform("past", lambda r: normalize(r[field].cast("double"), F.col("norm_mean"), F.col("norm_std"), eps)),
     )
+
+
+def robust_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(value - median) / (p75 - p25), the statistics pooled over all series."""
+    levels = {"lo": 0.25, "mid": 0.5, "hi": 0.75}
+    out = df
+    for c in columns:
+        stats = quantile_columns(df, [], c, levels).select(F.struct("lo", "mid", "hi")).scalar()
+        out = out.withColumn("_s", stats).withColumn(
+            c, F.try_divide(F.col(c).cast("double") - F.col("_s.mid"), F.col("_s.hi") - F.col("_s.lo"))
+        ).drop("_s")
+    return out

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from checks import panel
+from checks import forecasts, panel, streams, tables
 
-QUERIES = {**panel.Q}
+QUERIES = {**panel.Q, **tables.Q, **forecasts.Q, **streams.Q}

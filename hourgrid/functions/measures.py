@@ -60,8 +60,10 @@ def add_columns(*names: str) -> Column:
 
 
 def display_round(c: str | Column, places: int = 2) -> Column:
-    """Half-even rounding for report tables."""
-    return F.bround(F.col(c) if isinstance(c, str) else c, places)
+    """Rounding for report tables: scaled, rounded half-even as a double, scaled back,
+    which is what numeric arrays do (decimal half-even differs in the last binary digit)."""
+    scale = float(10**places)
+    return F.rint((F.col(c) if isinstance(c, str) else c).cast("double") * scale) / scale
 
 
 def matches(c: str | Column, pattern: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hourgrid import params
+from hourgrid.functions.measures import display_round
 from hourgrid.operators.quantile import quantile_columns, small_group_quantiles
 from hourgrid.operators.training import with_step_index
 from hourgrid.plans.forecast import SEASON_HOURS, ensemble_mean, predict_members
@@ -79,7 +80,7 @@ def report_metrics(
         F.count_if(both).alias("n_hours"), mae(a, f).alias("_mae"), bias(a, f).alias("_bias"),
         (1 - F.avg(wrong)).alias("ci_coverage"),
     )
-    text = lambda c: F.coalesce(F.bround(c, 2).cast("string"), F.lit("-"))
+    text = lambda c: F.coalesce(display_round(c).cast("string"), F.lit("-"))
     return numbers.select(*keys, "n_hours", text("_mae").alias("mae"), text("_bias").alias("bias"), "ci_coverage")
 
 

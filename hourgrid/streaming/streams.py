@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hourgrid.functions.measures import mean_of
 from hourgrid.operators.upsert import upsert_table
 from hourgrid.schemas import SOURCE
 from hourgrid.sources import feeds
@@ -72,11 +73,9 @@ def hourly_means(
     The window end is the hour-ending label: intervals are moved back by a microsecond
     so that one stamped exactly on the hour belongs to the hour it ends.
     """
-    from hourgrid.functions.measures import mean_of
-
-    timed = with_event_time(stream, time).withWatermark(time, delay)
-    hour = F.window(F.col(time) - F.expr("INTERVAL 1 MICROSECOND"), "1 hour")
-    out = timed.groupBy(hour.alias("_w"), *keys).agg(
+    timed = with_event_time(stream, time).withColumn(time, F.col(time) - F.expr("INTERVAL 1 MICROSECOND"))
+    hour = F.window(time, "1 hour")
+    out = timed.withWatermark(time, delay).groupBy(hour.alias("_w"), *keys).agg(
         *[mean_of(v, decimals).alias(v) for v in values], F.count(F.lit(1)).alias("n_intervals")
     )
     return out.select(F.col("_w.end").cast("timestamp_ntz").alias("hour_ending"), *keys, *values, "n_intervals")

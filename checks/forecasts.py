@@ -92,8 +92,16 @@ def display(spark, sf):
     return report.display_frame(summary(spark, sf), covariates(spark, sf), actuals(spark, sf))
 
 
-DISPLAY = f"""WITH {IV}, f AS (SELECT event_type AS node, he AS time, {mean('value')} AS mean_fcast, quantile_cont(value, 0.1) AS q10, quantile_cont(value, 0.5) AS q50,
- quantile_cont(value, 0.9) AS q90 FROM iv WHERE he >= TIMESTAMP '{FCAST_START}' GROUP BY ALL),
+def group_quantile(level: float) -> str:
+    """low + (high - low) * share over the sorted values ``l`` of a group: display rounding
+    sees the last binary digit, so the order of operations is spelt out."""
+    at = f"(len(l) - 1) * CAST({level} AS DOUBLE)"
+    low, high = f"l[CAST(floor({at}) AS BIGINT) + 1]", f"l[CAST(ceil({at}) AS BIGINT) + 1]"
+    return f"{low} + ({high} - {low}) * ({at} - floor({at}))"
+
+
+DISPLAY = f"""WITH {IV}, s AS (SELECT event_type, he, list_sort(list(value)) AS l, {mean('value')} AS mean_fcast FROM iv GROUP BY ALL),
+f AS (SELECT event_type AS node, he AS time, mean_fcast, {group_quantile(0.1)} AS q10, {group_quantile(0.5)} AS q50, {group_quantile(0.9)} AS q90 FROM s WHERE he >= TIMESTAMP '{FCAST_START}'),
 c AS (SELECT event_type AS node, he AS time, max(value) AS MTLF, min(value) AS Wind_Forecast_MW, max(value) - min(value) AS Solar_Forecast_MW,
  CAST(count(*) AS DOUBLE) AS Ratio, 2 * max(value) AS load_net_re FROM iv GROUP BY ALL),
 p AS (SELECT event_type AS node, he AS time, {mean('value')} AS LMP_HOURLY FROM iv WHERE user_id >= 20 GROUP BY ALL),

@@ -21,9 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round doubles, so that equal results compare equal in both engines."""
+    scale = float(10**places)
     return df.select(
         *[
-            F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            (F.rint(F.col(f.name) * scale) / scale).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema
         ]
     )

@@ -11,6 +11,7 @@ from hourgrid.functions import timeutil as tu
 from hourgrid.functions.measures import mean_of
 from hourgrid.operators import ranking, series
 from hourgrid.operators.quantile import exact_quantiles
+from hourgrid.operators.training import training_origins
 from hourgrid.plans import evaluate, forecast, report, trials
 
 Q: dict = {}
@@ -243,10 +244,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Direct linear model on the daily panel with a future covariate."""
     full = dense_daily(spark, sf)
-    from hourgrid.operators.training import training_windows
-
-    train_origins = training_windows(full, ["LMP"], ["LMP"], step_hours=24).select("unique_id", "origin")
-    fitted = forecast.fit_linear(full, train_origins, params.HORIZON, ["MTLF"], step_hours=24)
+    fitted = forecast.fit_linear(full, training_origins(full, step_hours=24), params.HORIZON, ["MTLF"], step_hours=24)
     last = full.groupBy("unique_id").agg((F.max("timestamp_mst") - tu.days(params.HORIZON)).alias("origin"))
     return q_columns(forecast.predict_linear(fitted, full, last, params.HORIZON, 24), "unique_id", "origin", "horizon", "time")
 

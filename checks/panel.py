@@ -12,7 +12,7 @@ from hourgrid import params
 from hourgrid.functions import timeutil as tu
 from hourgrid.functions.measures import clamp
 from hourgrid.operators import series, training
-from hourgrid.operators.windows import lag_diff, rolling_sums, series_window
+from hourgrid.operators.windows import lag_diff, series_window, with_rolling_sums
 from hourgrid.plans import features, report
 from hourgrid.sources import feeds
 
@@ -138,7 +138,7 @@ SELECT unique_id, timestamp_mst, {r6(*[f'lmp_diff_rolling_{i}' for i in (2, 3, 4
 def _(spark, sf):
     w = series_window("unique_id")
     p = hourly_price(spark, sf).withColumn("lmp_diff", lag_diff("LMP", w))
-    return rounded(p.withColumns(rolling_sums("lmp_diff", w, measure="double")).drop("LMP", "lmp_diff"))
+    return rounded(with_rolling_sums(p, "lmp_diff", w, measure="double").drop("LMP", "lmp_diff"))
 
 
 @query("prep_load", f"WITH {IV}, {LOAD} SELECT timestamp_mst, {r6('MTLF', 'Averaged_Actual')} FROM load")
@@ -353,15 +353,17 @@ def _(spark, sf):
 
 
 @query("instance_norm", WINDOWS_SQL + f"""SELECT unique_id, origin, {r6('norm_mean', 'norm_std', places=4)},
- round((first_past - norm_mean) / sqrt(norm_std * norm_std + 0.00001), 4) AS norm_first, round(first_past, 4) AS restored_first FROM w
+ round((first_past - norm_mean) / sqrt(norm_std * norm_std + 0.00001), 4) AS norm_first, round(first_past, 7) AS restored_first FROM w
  WHERE n_past = 168 AND n_future = 120 AND (step - 167) % 25 = 0""")
 def _(spark, sf):
     w = training.with_instance_norm(_windows(spark, sf))
     first = F.col("past_norm")[0]
-    return rounded(w.select(
-        "unique_id", "origin", "norm_mean", "norm_std", first.alias("norm_first"),
-        training.denormalize(first, F.col("norm_mean"), F.col("norm_std")).alias("restored_first"),
-    ), 4)
+    restored = training.denormalize(first, F.col("norm_mean"), F.col("norm_std"))
+    at = lambda c, places: F.rint(c * float(10**places)) / float(10**places)
+    return w.select(
+        "unique_id", "origin", at(F.col("norm_mean"), 4).alias("norm_mean"), at(F.col("norm_std"), 4).alias("norm_std"),
+        at(first, 4).alias("norm_first"), at(restored, 7).alias("restored_first"),
+    )
 
 
 @query("robust_scale", """WITH s AS (SELECT quantile_cont(l_extendedprice, 0.25) AS lo, quantile_cont(l_extendedprice, 0.5) AS mid,

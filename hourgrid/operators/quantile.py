@@ -61,14 +61,22 @@ def exact_quantiles(
     ``linear`` interpolates between neighbours, ``nearest`` takes the nearest rank
     floor((n - 1) * level + 0.5).
     """
+    return quantiles_of_counts(value_counts(df, groups, value), groups, levels, method, slices)
+
+
+def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """Rows (groups..., _v, _c): how often each value occurs, nulls included."""
+    return df.groupBy(*groups, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def quantiles_of_counts(
+    counts: DataFrame, groups: Sequence[str], levels: Sequence[float], method: str = "linear", slices: int = SLICES
+) -> DataFrame:
+    """Exact quantiles from the result of :func:`value_counts`."""
     groups = list(groups)
     keys = groups or ["_all"]
-    rows = df if groups else df.withColumn("_all", F.lit(1))
-    counts = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
+    counts = counts.where(F.col("_v").isNotNull())
+    counts = counts if groups else counts.withColumn("_all", F.lit(1))
     totals = _slice_totals(counts, keys, slices).withColumn("_want", _ranks(levels, F.col("_n"), method))
     first, last = F.col("_before"), F.col("_before") + F.col("_in") - 1
     wanted = totals.withColumn(
@@ -101,6 +109,24 @@ def exact_quantiles(
     )
 
 
+def with_slice(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
+    """Add ``_lower`` and ``_upper``: the limits of the slice (lower, upper] of a value.
+
+    The limits are approximate quantiles of the column, a fixed number of values; the
+    slice is found by halving. Outer limits are null. ``slices`` is a power of two.
+    """
+    steps = [i / slices for i in range(1, slices)]
+    out = df.withColumn("_edges", df.agg(F.percentile_approx(value, steps, 20 * slices)).scalar()).withColumn("_i", F.lit(0))
+    half = slices // 2
+    while half:
+        passed = F.get("_edges", F.col("_i") + (half - 1)) < F.col(value)
+        out = out.withColumn("_i", F.col("_i") + F.when(passed, half).otherwise(0))
+        half //= 2
+    return out.withColumns({
+        "_lower": F.get("_edges", F.col("_i") - 1), "_upper": F.get("_edges", F.col("_i"))
+    }).drop("_edges", "_i")
+
+
 def _slice_totals(counts: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
     """Rows per (group, slice) with the number of rows before it and in the group.
 
@@ -108,13 +134,7 @@ def _slice_totals(counts: DataFrame, keys: Sequence[str], slices: int) -> DataFr
     never holds much more than 1/slices of the distinct values; a group has at most
     ``slices`` rows here.
     """
-    steps = [i / slices for i in range(1, slices)]
-    edges = counts.agg(F.percentile_approx("_v", steps, 20 * slices)).scalar()
-    cut = counts.withColumn("_edges", edges).select(
-        *keys, "_c",
-        F.array_max(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_lower"),
-        F.array_min(F.filter("_edges", lambda e: e >= F.col("_v"))).alias("_upper"),
-    )
+    cut = with_slice(counts, "_v", slices)
     by_group = Window.partitionBy(*keys)
     before = by_group.orderBy("_lower").rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -133,7 +153,11 @@ def quantile_columns(
     slices: int = SLICES,
 ) -> DataFrame:
     """One row per group with a column per named level."""
-    rows = exact_quantiles(df, groups, value, list(named.values()), method, slices)
+    return level_columns(exact_quantiles(df, groups, value, list(named.values()), method, slices), groups, named)
+
+
+def level_columns(rows: DataFrame, groups: Sequence[str], named: dict[str, float]) -> DataFrame:
+    """(groups..., level, quantile) rows to one column per named level."""
     columns = [
         F.max(F.when(F.col("level") == F.lit(float(level)), F.col("quantile"))).alias(name)
         for name, level in named.items()

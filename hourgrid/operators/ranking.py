@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hourgrid.operators.quantile import with_slice
+
 
 def or_infinity(c: str | Column) -> Column:
     """Missing or NaN objective values become +infinity."""
@@ -49,11 +51,7 @@ def pareto_front(df: DataFrame, first: str, second: str, slices: int = 64) -> Da
     least = df.where(F.col(first).isNotNull() & F.col(second).isNotNull()).groupBy(
         F.col(first).alias("_x")
     ).agg(F.min(second).alias("_y"))
-    steps = [i / slices for i in range(1, slices)]
-    edges = least.agg(F.percentile_approx("_x", steps, 20 * slices)).scalar()
-    cut = least.withColumn("_edges", edges).select(
-        "_x", "_y", F.array_max(F.filter("_edges", lambda e: e < F.col("_x"))).alias("_lower")
-    )
+    cut = with_slice(least, "_x", slices)
     earlier = Window.partitionBy(F.lit(1)).orderBy("_lower").rowsBetween(Window.unboundedPreceding, -1)
     best = cut.groupBy("_lower").agg(F.min("_y").alias("_m")).select(
         F.col("_lower").alias("_l"), F.min("_m").over(earlier).alias("_outside")

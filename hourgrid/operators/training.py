@@ -54,6 +54,19 @@ def training_windows(
     return out.where(full).select(*ids, "origin", "past", "future")
 
 
+def training_origins(
+    df: DataFrame, ids: Sequence[str] = (params.ID,), time: str = params.TIME, input_chunk: int = params.INPUT_CHUNK,
+    horizon: int = params.HORIZON, stride: int = params.BACKTEST_STRIDE, step_hours: int = 1,
+) -> DataFrame:
+    """Rows (ids, origin) of every full window, without building the windows."""
+    last = F.max("step").over(Window.partitionBy(*ids))
+    rows = with_step_index(df.select(*ids, time), ids, time, step_hours).withColumn("_last", last)
+    first = input_chunk - 1
+    step = F.col("step")
+    kept = rows.where((step >= first) & ((step - first) % stride == 0) & (step <= F.col("_last") - horizon))
+    return kept.select(*ids, F.col(time).alias("origin"))
+
+
 def origin_steps(step: Column, input_chunk: int, horizon: int, stride: int) -> Column:
     """Origin steps whose window covers ``step``: input_chunk - 1, then every stride."""
     first = input_chunk - 1

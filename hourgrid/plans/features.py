@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from hourgrid import params
 from hourgrid.functions.measures import add_columns, guard_small, matches, mean_of, ratio, replace_outside
 from hourgrid.operators.quantile import quantile_columns
-from hourgrid.operators.windows import lag_diff, rolling_sums, series_window
+from hourgrid.operators.windows import lag_diff, series_window, with_diff_and_rolling_sums
 
 TimeArg = str | datetime | None
 
@@ -153,17 +153,14 @@ def hour_features(load: DataFrame, renewable: DataFrame, cutoff: str = params.DA
         "mtlf_diff": lag_diff("MTLF", order).cast(measure),
         "wind_diff": lag_diff("Wind_Forecast_MW", order).cast(measure),
         "solar_diff": lag_diff("Solar_Forecast_MW", order).cast(measure),
-        "load_net_re_diff": lag_diff("load_net_re", order).cast(measure),
     })
-    return out.withColumns(rolling_sums("load_net_re_diff", order, measure=measure))
+    return with_diff_and_rolling_sums(out, "load_net_re", "load_net_re_diff", order, measure=measure)
 
 
 def price_panel(price: DataFrame, nodes: DataFrame, hours: DataFrame, measure: str = "float") -> DataFrame:
     """Grid of nodes and hours with price, its change and rolling sums over the dense grid."""
     grid = node_hours(nodes, hours).join(price.select(params.ID, params.TIME, params.TARGET), [params.ID, params.TIME], "left")
-    order = series_window(params.ID)
-    panel = grid.withColumn("lmp_diff", lag_diff(params.TARGET, order).cast(measure))
-    return panel.withColumns(rolling_sums("lmp_diff", order, measure=measure))
+    return with_diff_and_rolling_sums(grid, params.TARGET, "lmp_diff", series_window(params.ID), measure=measure)
 
 
 def build_features(

@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
 from hourgrid.operators.quantile import exact_quantiles, small_group_quantiles
+from hourgrid.session import materialize
 
 ID, TIME, TARGET = params.ID, params.TIME, params.TARGET
 SEASON_HOURS = 168
@@ -118,10 +119,17 @@ def _linear_rows(
 ) -> DataFrame:
     """Feature rows (unique_id, origin, time, horizon, features..., y)."""
     order = Window.partitionBy(ID).orderBy(TIME)
-    at_origin = dense.select(
-        ID, F.col(TIME).alias("origin"), F.col(TARGET).cast("double").alias("f_last"),
-        F.avg(TARGET).over(order.rowsBetween(-23, 0)).alias("f_mean_24"),
-        F.avg(TARGET).over(order.rowsBetween(-(params.INPUT_CHUNK - 1), 0)).alias("f_mean_168"),
+    # Means over the last rows from running sums: one addition per row instead of a frame.
+    running = dense.select(
+        ID, F.col(TIME), F.col(TARGET).cast("double").alias("f_last"),
+        F.sum(F.col(TARGET).cast("double")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum"),
+        F.row_number().over(order).alias("_n"),
+    )
+    mean = lambda k: (
+        F.col("_sum") - F.coalesce(F.lag("_sum", k).over(order), F.lit(0.0))
+    ) / F.least(F.col("_n"), F.lit(k))
+    at_origin = running.select(
+        ID, F.col(TIME).alias("origin"), "f_last", mean(24).alias("f_mean_24"), mean(params.INPUT_CHUNK).alias("f_mean_168")
     )
     steps = forecast_targets(origins.select(ID, "origin"), horizon, step_hours)
     season = dense.select(
@@ -158,6 +166,7 @@ def fit_linear(
     the data, so the exact distributed quantile is used.
     """
     rows = _linear_rows(dense, origins, horizon, covariates, season_steps, step_hours).where(F.col("y").isNotNull())
+    rows = materialize(rows, "linear-rows")
     assembler = VectorAssembler(inputCols=_linear_features(covariates), outputCol="features", handleInvalid="skip")
     regression = LinearRegression(
         featuresCol="features", labelCol="y", predictionCol="point", regParam=regularization, solver="normal",
@@ -200,25 +209,25 @@ def _uniform(seed: int, *keys: str | Column) -> Column:
     return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def inverse_cdf(q: str | Column, u: Column, levels: Sequence[float]) -> Column:
-    """Piecewise-linear quantile function through (level, q); flat outside the levels."""
-    q = F.col(q) if isinstance(q, str) else q
-    grid = F.array(*[F.lit(float(v)) for v in levels])
-    below = F.size(F.filter(grid, lambda v: v <= u))
-    i = F.least(F.greatest(below, F.lit(1)), F.lit(len(levels) - 1))
-    lo, hi = F.element_at(grid, i), F.element_at(grid, i + 1)
-    share = F.least(F.greatest((u - lo) / (hi - lo), F.lit(0.0)), F.lit(1.0))
-    return F.element_at(q, i) + (F.element_at(q, i + 1) - F.element_at(q, i)) * share
-
-
 def sample_paths(
     forecast: DataFrame, n_samples: int = params.SAMPLES_REQUEST, levels: Sequence[float] = tuple(params.QUANTILE_LEVELS),
     seed: int = 0, ids: Sequence[str] = (ID,), time: str = "time",
 ) -> DataFrame:
-    """Rows (..., sample_id, value) drawn from the quantile function of each forecast hour."""
+    """Rows (..., sample_id, value) drawn from the quantile function of each forecast hour.
+
+    The quantile function is piecewise linear through (level, q) and flat outside the
+    levels.
+    """
     drawn = forecast.withColumn("sample_id", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
-    u = _uniform(seed, *ids, F.col(time).cast("string"), "sample_id")
-    return drawn.withColumn("value", inverse_cdf("q", u, levels)).drop("q")
+    drawn = drawn.withColumn("_u", _uniform(seed, *ids, F.col(time).cast("string"), "sample_id"))
+    passed = reduce(lambda a, b: a + b, [(F.col("_u") >= float(v)).cast("int") for v in levels])
+    drawn = drawn.withColumn("_i", F.least(F.greatest(passed, F.lit(1)), F.lit(len(levels) - 1)))
+    grid = F.array(*[F.lit(float(v)) for v in levels])
+    at = lambda values, i: F.element_at(values, i)
+    i, low = F.col("_i"), at(F.col("q"), F.col("_i"))
+    share = (F.col("_u") - at(grid, i)) / (at(grid, i + 1) - at(grid, i))
+    share = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+    return drawn.withColumn("value", low + (at(F.col("q"), i + 1) - low) * share).drop("q", "_u", "_i")
 
 
 def unpivot_samples(wide: DataFrame, keys: Sequence[str], samples: str = "samples") -> DataFrame:

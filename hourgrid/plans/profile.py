@@ -6,24 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.functions.measures import mean_of
-from hourgrid.operators.quantile import quantile_columns
+from hourgrid.operators.quantile import level_columns, quantiles_of_counts, value_counts
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
 def numeric_profile(df: DataFrame, columns: list[str] | None = None, decimals: int | None = None) -> DataFrame:
-    """One row per numeric column: counts, min, max, mean and exact quartiles."""
+    """One row per numeric column: counts, min, max, mean and exact quartiles.
+
+    Everything follows from how often each value occurs, so columns are read once for
+    the counts and the rest works on distinct values.
+    """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column_name", "value"
     )
-    basics = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("value").isNull()).alias("missing_count"),
-        F.min("value").alias("min"), F.max("value").alias("max"), mean_of("value", decimals).alias("avg"),
+    counts = value_counts(long, ["column_name"], "value")
+    c, v = F.col("_c"), F.col("_v")
+    known = F.sum(F.when(v.isNotNull(), c))
+    if decimals is None:
+        total = F.sum(v * c)
+    else:
+        total = F.sum(F.round(v * 10**decimals).cast("bigint") * c) / float(10**decimals)
+    basics = counts.groupBy("column_name").agg(
+        F.sum(c).alias("row_count"), F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("missing_count"),
+        F.min(v).alias("min"), F.max(v).alias("max"), (total / known).alias("avg"),
     )
-    quartiles = quantile_columns(long, ["column_name"], "value", QUARTILES)
-    return basics.join(quartiles, "column_name", "left")
+    rows = quantiles_of_counts(counts, ["column_name"], list(QUARTILES.values()))
+    return basics.join(level_columns(rows, ["column_name"], QUARTILES), "column_name", "left")
 
 
 def time_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -40,12 +40,13 @@ def with_time_components(
     stamp = tu.ceil_minutes(local_time, 5 if five_min else 60)
     out = df.withColumn("timestamp_local", stamp)
     out = out.where(tu.local_time_exists_once("timestamp_local", zone))
-    parts = {
-        "YEAR": "yyyy", "MONTH": "MM", "DAY": "dd", "HOUR": "HH", "MINUTE": "mm",
-        "YM": "yyyyMM", "YMD": "yyyyMMdd", "COMBINED": "yyyyMMddHHmm",
+    # COMBINED is formatted once; the other parts are pieces of it.
+    pieces = {
+        "YEAR": (1, 4), "MONTH": (5, 2), "DAY": (7, 2), "HOUR": (9, 2), "MINUTE": (11, 2), "YM": (1, 6), "YMD": (1, 8),
     }
+    out = out.withColumn("COMBINED", F.date_format("timestamp_local", "yyyyMMddHHmm"))
     return out.withColumns(
-        {name: F.date_format("timestamp_local", fmt) for name, fmt in parts.items()}
+        {name: F.substring("COMBINED", start, length) for name, (start, length) in pieces.items()}
         | {"timestamp_utc": tu.local_to_utc("timestamp_local", zone)}
     )
 

@@ -77,14 +77,13 @@ def utc_to_local(c: str | Column, zone: str = params.LOCAL_ZONE) -> Column:
 
 
 def local_time_exists_once(c: str | Column, zone: str = params.LOCAL_ZONE) -> Column:
-    """False for local times skipped or repeated by a daylight-saving change."""
+    """False for local times skipped or repeated by a daylight-saving change.
+
+    For zones whose clock moves by one hour: an hour later on the clock is then no
+    hour (skipped) or two hours (repeated) later in UTC.
+    """
     c = _col(c)
-    utc = local_to_utc(c, zone)
-    return (
-        (utc_to_local(utc, zone) == c)
-        & (utc_to_local(utc + hours(1), zone) != c)
-        & (utc_to_local(utc - hours(1), zone) != c)
-    )
+    return local_to_utc(c + hours(1), zone) - local_to_utc(c, zone) == hours(1)
 
 
 def forecast_start(date: str | Column, hour: str | Column) -> Column:

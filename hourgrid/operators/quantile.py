@@ -5,8 +5,8 @@ right for bounded groups (the samples of one forecast hour) and used there. For
 pooled measures the group may be the whole table, so the value is found in steps:
 
 1. count rows per (group, value), combined on the map side;
-2. cut the value range into slices by approximate quantiles of those values, so
-   that no slice holds more than a small share of the distinct values;
+2. cut the value range into slices by approximate quantiles, a sketch that needs no
+   shuffle of rows, so that no slice holds more than a small share of the rows;
 3. add up counts per (group, slice), a small table, to find the slice of each rank;
 4. order only the slices that hold a wanted rank.
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SLICES = 64
+SLICES = 256
 
 
 def _ranks(levels: Sequence[float], n: Column, method: str) -> Column:
@@ -61,7 +61,8 @@ def exact_quantiles(
     ``linear`` interpolates between neighbours, ``nearest`` takes the nearest rank
     floor((n - 1) * level + 0.5).
     """
-    return quantiles_of_counts(value_counts(df, groups, value), groups, levels, method, slices)
+    edges = slice_edges(df, value, slices)
+    return quantiles_of_counts(value_counts(df, groups, value), edges, groups, levels, method, slices)
 
 
 def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -70,14 +71,15 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
 
 
 def quantiles_of_counts(
-    counts: DataFrame, groups: Sequence[str], levels: Sequence[float], method: str = "linear", slices: int = SLICES
+    counts: DataFrame, edges: Column, groups: Sequence[str], levels: Sequence[float], method: str = "linear",
+    slices: int = SLICES,
 ) -> DataFrame:
-    """Exact quantiles from the result of :func:`value_counts`."""
+    """Exact quantiles from the results of :func:`value_counts` and :func:`slice_edges`."""
     groups = list(groups)
     keys = groups or ["_all"]
     counts = counts.where(F.col("_v").isNotNull())
     counts = counts if groups else counts.withColumn("_all", F.lit(1))
-    totals = _slice_totals(counts, keys, slices).withColumn("_want", _ranks(levels, F.col("_n"), method))
+    totals = _slice_totals(counts, edges, keys, slices).withColumn("_want", _ranks(levels, F.col("_n"), method))
     first, last = F.col("_before"), F.col("_before") + F.col("_in") - 1
     wanted = totals.withColumn(
         "_want", F.filter("_want", lambda r: r["low"].between(first, last) | r["high"].between(first, last))
@@ -109,14 +111,19 @@ def quantiles_of_counts(
     )
 
 
-def with_slice(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
+def slice_edges(df: DataFrame, value: str, slices: int = SLICES) -> Column:
+    """Approximate quantiles that cut a column into slices: one array of ``slices - 1`` values."""
+    steps = [i / slices for i in range(1, slices)]
+    return df.agg(F.percentile_approx(F.col(value).cast("double"), steps, 20 * slices)).scalar()
+
+
+def with_slice(df: DataFrame, value: str, edges: Column, slices: int = SLICES) -> DataFrame:
     """Add ``_lower`` and ``_upper``: the limits of the slice (lower, upper] of a value.
 
-    The limits are approximate quantiles of the column, a fixed number of values; the
-    slice is found by halving. Outer limits are null. ``slices`` is a power of two.
+    The slice is found by halving the ordered edges; outer limits are null. ``slices``
+    is a power of two.
     """
-    steps = [i / slices for i in range(1, slices)]
-    out = df.withColumn("_edges", df.agg(F.percentile_approx(value, steps, 20 * slices)).scalar()).withColumn("_i", F.lit(0))
+    out = df.withColumn("_edges", edges).withColumn("_i", F.lit(0))
     half = slices // 2
     while half:
         passed = F.get("_edges", F.col("_i") + (half - 1)) < F.col(value)
@@ -127,14 +134,12 @@ def with_slice(df: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
     }).drop("_edges", "_i")
 
 
-def _slice_totals(counts: DataFrame, keys: Sequence[str], slices: int) -> DataFrame:
+def _slice_totals(counts: DataFrame, edges: Column, keys: Sequence[str], slices: int) -> DataFrame:
     """Rows per (group, slice) with the number of rows before it and in the group.
 
-    Slices are cut by approximate quantiles over all groups together, so one slice
-    never holds much more than 1/slices of the distinct values; a group has at most
-    ``slices`` rows here.
+    Slices are cut over all groups together; a group has at most ``slices`` rows here.
     """
-    cut = with_slice(counts, "_v", slices)
+    cut = with_slice(counts, "_v", edges, slices)
     by_group = Window.partitionBy(*keys)
     before = by_group.orderBy("_lower").rowsBetween(Window.unboundedPreceding, -1)
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hourgrid.operators.quantile import with_slice
+from hourgrid.operators.quantile import SLICES, slice_edges, with_slice
 
 
 def or_infinity(c: str | Column) -> Column:
@@ -41,7 +41,7 @@ def best_row(df: DataFrame, score: str | Column, ties: Sequence[str] = ()) -> Da
     return picked.where(F.col("row").isNotNull()).select("row.*")
 
 
-def pareto_front(df: DataFrame, first: str, second: str, slices: int = 64) -> DataFrame:
+def pareto_front(df: DataFrame, first: str, second: str, slices: int = SLICES) -> DataFrame:
     """Rows no other row dominates; both objectives are minimised, equal pairs stay together.
 
     Only the least ``second`` at each ``first`` can be on the front. Those pairs are
@@ -51,7 +51,7 @@ def pareto_front(df: DataFrame, first: str, second: str, slices: int = 64) -> Da
     least = df.where(F.col(first).isNotNull() & F.col(second).isNotNull()).groupBy(
         F.col(first).alias("_x")
     ).agg(F.min(second).alias("_y"))
-    cut = with_slice(least, "_x", slices)
+    cut = with_slice(least, "_x", slice_edges(df, first, slices), slices)
     earlier = Window.partitionBy(F.lit(1)).orderBy("_lower").rowsBetween(Window.unboundedPreceding, -1)
     best = cut.groupBy("_lower").agg(F.min("_y").alias("_m")).select(
         F.col("_lower").alias("_l"), F.min("_m").over(earlier).alias("_outside")

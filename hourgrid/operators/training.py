@@ -35,9 +35,9 @@ def training_windows(
     """Rows (ids, origin, past, future): the last ``input_chunk`` rows up to the origin
     and the ``horizon`` rows after it, as arrays; only full windows, every ``stride`` steps.
 
-    The input must be dense. Each row is sent to the few origins whose window covers
-    it, so work is grouped by (series, origin) and a group has exactly
-    ``input_chunk + horizon`` rows, however long one series is.
+    The input must be dense. Each row is copied to the few origins whose window covers
+    it, so a group (series, origin) has exactly ``input_chunk + horizon`` rows. The
+    copies are made where the series already lies and do not travel again.
     """
     ids = list(ids)
     step = F.col("step")

@@ -365,3 +365,29 @@ def _(spark, sf):
     new = by("O").agg(F.when(F.col("evaluation") % 11 != 0, score).alias("avg_mae"))
     return rounded(evaluate.promotion_decision(new, by("F").agg(score.alias("avg_mae"))))
 
+
+
+@query("top_parameter_sets", TRIALS + """SELECT * EXCLUDE (rn), rn AS rank FROM (SELECT number, params, split_part(params, '/', 2) AS kind, value_0, value_1,
+ CAST(row_number() OVER (PARTITION BY split_part(params, '/', 2) ORDER BY value_0, number) AS INTEGER) AS rn FROM t) WHERE rn <= 5""")
+def _(spark, sf):
+    t = trials.objectives(trial_rows(spark, sf)).withColumn("kind", F.split_part("params", F.lit("/"), F.lit(2)))
+    return ranking.top_per_key(t, ["kind"], ["value_0", "number"], params.TOP_TRIALS)
+
+
+NODES = DISPLAY + """, n AS (SELECT node, avg(abs(LMP_HOURLY - {0})) AS mae, sqrt(avg((LMP_HOURLY - {0}) * (LMP_HOURLY - {0}))) AS rmse,
+ 100 * abs(avg(CASE WHEN q90 > LMP_HOURLY AND q10 < LMP_HOURLY THEN 1 ELSE 0 END) - 0.8) AS ci FROM d WHERE q50 IS NOT NULL AND LMP_HOURLY IS NOT NULL GROUP BY node),
+champ AS (SELECT node, avg(abs(LMP_HOURLY - {1})) AS mae, sqrt(avg((LMP_HOURLY - {1}) * (LMP_HOURLY - {1}))) AS rmse,
+ 100 * abs(avg(CASE WHEN q90 > LMP_HOURLY AND q10 < LMP_HOURLY THEN 1 ELSE 0 END) - 0.8) AS ci FROM d WHERE q50 IS NOT NULL AND LMP_HOURLY IS NOT NULL GROUP BY node),
+u AS (SELECT n.node, n.mae AS a, n.rmse AS b, n.ci AS e, champ.mae AS f, champ.rmse AS g, champ.ci AS h FROM n JOIN champ USING (node)),
+w AS (SELECT * FROM u UNION ALL SELECT NULL, avg(a), avg(b), avg(e), avg(f), avg(g), avg(h) FROM u)
+SELECT node, round(a, 6) AS new_mae, round(b, 6) AS new_rmse, round(e, 6) AS new_ci_coverage_error, round(f, 6) AS champion_mae,
+ round(g, 6) AS champion_rmse, round(h, 6) AS champion_ci_coverage_error FROM w"""
+
+
+@query("compare_reports", NODES.replace("{0}", "q50").replace("{1}", "mean_fcast"))
+def _(spark, sf):
+    """Median against mean forecast in the roles of a new model and the champion."""
+    d = display(spark, sf)
+    new = evaluate.model_report(d, "node", "LMP_HOURLY")
+    champion = evaluate.model_report(d.withColumn("q50", F.col("mean_fcast")), "node", "LMP_HOURLY")
+    return rounded(evaluate.compare_reports(new, champion, "node"))

@@ -64,3 +64,9 @@ def pareto_front(df: DataFrame, first: str, second: str, slices: int = SLICES) -
     )
     on_front = (df[first] == front["_x"]) & (df[second] == front["_y"])
     return df.join(front.select("_x", "_y"), on_front, "left_semi")
+
+
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+    """The first n rows of each key; each task drops later rows before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("rank", rank).where(F.col("rank") <= n)

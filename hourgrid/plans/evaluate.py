@@ -179,3 +179,13 @@ def smoke_test(forecast: DataFrame, minimum_rows: int = 1) -> None:
     """Fail unless the forecast returns rows; run before a promotion."""
     if len(forecast.take(minimum_rows)) < minimum_rows:
         raise ValueError("the forecast returned no rows; not promoting")
+
+
+def compare_reports(new: DataFrame, champion: DataFrame, node: str = ID) -> DataFrame:
+    """Metrics of both models side by side per node, and the averages (null node)."""
+    metrics = ["mae", "rmse", "ci_coverage_error"]
+    side = lambda df, name: df.select(
+        F.col(node).alias(f"_{name}"), *[F.col(m).alias(f"{name}_{m}") for m in metrics]
+    )
+    both = side(new, "new").join(side(champion, "champion"), F.col("_new").eqNullSafe(F.col("_champion")), "full")
+    return both.select(F.coalesce("_new", "_champion").alias(node), *[c for c in both.columns if not c.startswith("_")])

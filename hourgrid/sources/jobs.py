@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +72,19 @@ def collect(
     else:
         absent = feeds.file_report(requested, held)
     return {"stats": stats, "missing": absent.where(~F.col("landed"))}
+
+
+def scheduled_runs(now: datetime, backfill: bool = False) -> list[tuple[str, str, int, int]]:
+    """(feed, end stamp, periods, stamp hour) of one collection round.
+
+    Forecasts and interval prices end at the current hour or 5 minutes; daily prices
+    end two days ago, when their files are settled, and carry the hour of the run.
+    """
+    hour = now.replace(minute=0, second=0, microsecond=0)
+    hour = hour if hour == now else hour + timedelta(hours=1)
+    five = now - timedelta(minutes=now.minute % 5, seconds=now.second, microseconds=now.microsecond)
+    five = five if five == now else five + timedelta(minutes=5)
+    day = (now - timedelta(days=2)).replace(hour=0, minute=0, second=0, microsecond=0)
+    ends = {"load_forecast": hour, "renewable_forecast": hour, "price_5min": five, "price_daily": day}
+    periods = BACKFILL_PERIODS if backfill else INCREMENTAL_PERIODS
+    return [(feed, str(end), periods[feed], hour.hour if feed == "price_daily" else 0) for feed, end in ends.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def half_away(c: Column, places: int) -> Column:
+    """Round half away from zero, as the SQL side does."""
+    scale = float(10**places)
+    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round doubles, so that equal results compare equal in both engines."""
-    scale = float(10**places)
     return df.select(
         *[
-            (F.rint(F.col(f.name) * scale) / scale).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            half_away(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema
         ]
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.base import (
     CUTOFF, DAILY, DECIMALS, HOUR_COLS, HOURS, IV, LOAD, LOCAL, PANEL_COLS, PRICE, RENEWABLE, START,
-    daily_price, dense_sql, gen_cap, he, hourly_price, intervals, lmp, mean, mtlf, mtrf, panel_sql, r6, rounded, table, total,
+    daily_price, dense_sql, gen_cap, half_away, he, hourly_price, intervals, lmp, mean, mtlf, mtrf, panel_sql, r6, rounded, table, total,
 )
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
@@ -359,10 +359,9 @@ def _(spark, sf):
     w = training.with_instance_norm(_windows(spark, sf))
     first = F.col("past_norm")[0]
     restored = training.denormalize(first, F.col("norm_mean"), F.col("norm_std"))
-    at = lambda c, places: F.rint(c * float(10**places)) / float(10**places)
     return w.select(
-        "unique_id", "origin", at(F.col("norm_mean"), 4).alias("norm_mean"), at(F.col("norm_std"), 4).alias("norm_std"),
-        at(first, 4).alias("norm_first"), at(restored, 7).alias("restored_first"),
+        "unique_id", "origin", half_away(F.col("norm_mean"), 4).alias("norm_mean"), half_away(F.col("norm_std"), 4).alias("norm_std"),
+        half_away(first, 4).alias("norm_first"), half_away(restored, 7).alias("restored_first"),
     )
 
 

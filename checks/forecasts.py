@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import DECIMALS, IV, PRICE, dense_sql, intervals, mean, r6, rounded, table
+from checks.base import DECIMALS, IV, PRICE, dense_sql, intervals, mean, r6, rounded, table, total
 from checks.panel import dense, dense_daily
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
-from hourgrid.functions.measures import mean_of
+from hourgrid.functions.measures import mean_of, sum_of
 from hourgrid.operators import ranking, series
 from hourgrid.operators.quantile import exact_quantiles
 from hourgrid.operators.training import training_origins
@@ -62,7 +62,7 @@ def _(spark, sf):
 
 
 # --- display ---------------------------------------------------------------------------
-# Forecast: hourly sample summary of the last ten days. Actual: another type's hourly mean.
+# Forecast: hourly sample summary of the last ten days.
 
 FCAST_START = "2024-01-21 00:00:00"
 
@@ -84,9 +84,9 @@ def covariates(spark, sf):
 
 
 def actuals(spark, sf):
-    """Actual price of a node and hour: the mean over users with an even key."""
-    even = samples(spark, sf).where(F.col("sample_id") >= 20)
-    return even.groupBy("node", "time").agg(mean_of("value", DECIMALS).alias("LMP_HOURLY"))
+    """Actual price of a node and hour: the mean without the largest value; null for a single one."""
+    rest = F.try_divide(sum_of("value", DECIMALS) - F.max("value"), F.count("value") - 1)
+    return samples(spark, sf).groupBy("node", "time").agg(rest.alias("LMP_HOURLY"))
 
 
 def display(spark, sf):
@@ -105,7 +105,7 @@ DISPLAY = f"""WITH {IV}, s AS (SELECT event_type, he, list_sort(list(value)) AS
 f AS (SELECT event_type AS node, he AS time, mean_fcast, {group_quantile(0.1)} AS q10, {group_quantile(0.5)} AS q50, {group_quantile(0.9)} AS q90 FROM s WHERE he >= TIMESTAMP '{FCAST_START}'),
 c AS (SELECT event_type AS node, he AS time, max(value) AS MTLF, min(value) AS Wind_Forecast_MW, max(value) - min(value) AS Solar_Forecast_MW,
  CAST(count(*) AS DOUBLE) AS Ratio, 2 * max(value) AS load_net_re FROM iv GROUP BY ALL),
-p AS (SELECT event_type AS node, he AS time, {mean('value')} AS LMP_HOURLY FROM iv WHERE user_id >= 20 GROUP BY ALL),
+p AS (SELECT event_type AS node, he AS time, ({total('value')} - max(value)) / NULLIF(count(value) - 1, 0) AS LMP_HOURLY FROM iv GROUP BY ALL),
 d AS (SELECT * FROM f RIGHT JOIN c USING (node, time) LEFT JOIN p USING (node, time)),
 b AS (SELECT node, min(time) - INTERVAL 168 HOUR AS lo, max(time) AS hi FROM d WHERE mean_fcast IS NOT NULL GROUP BY ALL),
 win AS (SELECT d.* FROM d JOIN b USING (node) WHERE time BETWEEN lo AND hi)

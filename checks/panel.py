@@ -311,11 +311,10 @@ def _(spark, sf):
     return series.origins(i)
 
 
-WINDOW_SUMS = ["past_sum", "future_sum", "norm_mean", "norm_std", "norm_first"]
 WINDOWS_SQL = f"""WITH {DAILY}, {dense_sql('daily', ['LMP', 'MTLF'], '1 DAY')},
 x AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY timestamp_mst) - 1 AS step FROM dense),
-w AS (SELECT unique_id, timestamp_mst AS origin, step, count(*) OVER p AS n_past, count(*) OVER f AS n_future, sum(LMP) OVER p AS past_sum,
- sum(MTLF) OVER f AS future_sum, avg(LMP) OVER p AS norm_mean, stddev_pop(LMP) OVER p AS norm_std, first_value(LMP) OVER p AS first_past,
+w AS (SELECT unique_id, timestamp_mst AS origin, step, count(*) OVER p AS n_past, count(*) OVER f AS n_future, CAST(sum(CAST(round(LMP * 10000) AS BIGINT)) OVER p AS BIGINT) AS past_sum,
+ CAST(sum(CAST(round(MTLF * 10000) AS BIGINT)) OVER f AS BIGINT) AS future_sum, avg(LMP) OVER p AS norm_mean, stddev_pop(LMP) OVER p AS norm_std, first_value(LMP) OVER p AS first_past,
  max(timestamp_mst) OVER f AS last_time FROM x
  WINDOW p AS (PARTITION BY unique_id ORDER BY timestamp_mst ROWS BETWEEN 167 PRECEDING AND CURRENT ROW),
         f AS (PARTITION BY unique_id ORDER BY timestamp_mst ROWS BETWEEN 1 FOLLOWING AND 120 FOLLOWING))
@@ -326,30 +325,27 @@ def _windows(spark, sf):
     return training.training_windows(dense_daily(spark, sf), ["LMP"], ["MTLF"], step_hours=24)
 
 
-def _add(field):
-    return lambda a, r: a + r[field]
+def _total(window, field):
+    """Sum over a window in ten-thousandths: integers, so the order of addition does not matter."""
+    start = F.lit(0).cast("bigint")
+    return F.aggregate(window, start, lambda a, r: a + F.floor(r[field] * 10000 + 0.5)).alias(f"{window}_sum")
 
 
 @query("training_windows", WINDOWS_SQL + f"""SELECT unique_id, origin, CAST(n_past AS INTEGER) AS n_past, CAST(n_future AS INTEGER) AS n_future,
- {r6('past_sum', 'future_sum', places=3)}, last_time FROM w WHERE n_past = 168 AND n_future = 120 AND (step - 167) % 25 = 0""")
+ past_sum, future_sum, last_time FROM w WHERE n_past = 168 AND n_future = 120 AND (step - 167) % 25 = 0""")
 def _(spark, sf):
     w = _windows(spark, sf)
-    return rounded(w.select(
+    return w.select(
         "unique_id", "origin", F.size("past").alias("n_past"), F.size("future").alias("n_future"),
-        F.aggregate("past", F.lit(0.0), _add("LMP")).alias("past_sum"),
-        F.aggregate("future", F.lit(0.0), _add("MTLF")).alias("future_sum"),
-        F.element_at("future", -1)["timestamp_mst"].alias("last_time"),
-    ), 3)
+        _total("past", "LMP"), _total("future", "MTLF"), F.element_at("future", -1)["timestamp_mst"].alias("last_time"),
+    )
 
 
-@query("frame_windows", WINDOWS_SQL + f"""SELECT unique_id, origin, {r6('past_sum', 'future_sum', places=3)} FROM w
+@query("frame_windows", WINDOWS_SQL + f"""SELECT unique_id, origin, past_sum, future_sum FROM w
  WHERE n_past = 168 AND n_future = 120""")
 def _(spark, sf):
     w = training.frame_windows(dense_daily(spark, sf), ["LMP"], ["MTLF"])
-    return rounded(w.select(
-        "unique_id", "origin", F.aggregate("past", F.lit(0.0), _add("LMP")).alias("past_sum"),
-        F.aggregate("future", F.lit(0.0), _add("MTLF")).alias("future_sum"),
-    ), 3)
+    return w.select("unique_id", "origin", _total("past", "LMP"), _total("future", "MTLF"))
 
 
 @query("instance_norm", WINDOWS_SQL + f"""SELECT unique_id, origin, {r6('norm_mean', 'norm_std', places=4)},

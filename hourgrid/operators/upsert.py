@@ -92,6 +92,16 @@ def time_bounds(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
 
 
+def touched_partitions(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the current table on the dates of the batch.
+
+    The dates, at most one per day of the batch, become literals, so that other
+    partitions are not even listed for reading.
+    """
+    dates = [row[0] for row in batch.select(PARTITION).distinct().collect()]
+    return current.where(F.col(PARTITION).isin(dates)).select(*batch.columns)
+
+
 def upsert_table(
     spark: SparkSession, batch: DataFrame, target: str, base: str, order: Sequence[str | Column] = (STAMP, SOURCE)
 ) -> DataFrame:
@@ -110,9 +120,7 @@ def upsert_table(
     if current is None:
         touched, merged = batch.limit(0), batch
     else:
-        touched = current.join(F.broadcast(batch.select(PARTITION).distinct()), PARTITION, "left_semi").select(
-            *batch.columns
-        )
+        touched = touched_partitions(current, batch)
         merged = materialize(merge_latest(touched, batch, keys, order), f"{target}-merged")
     require_unique(merged, keys, target)
     stats = materialize(upsert_stats(touched, batch, keys), f"{target}-stats")

@@ -50,6 +50,16 @@ def test_latest_wins_combines_before_the_shuffle(spark):
     assert "partial_max_by" in text
 
 
+def test_merge_reads_only_the_dates_of_the_batch(spark, ts, tmp_path):
+    rows = [(f"2024-01-0{d} 01:00:00", "2024-01-01 00:00:00", "a", d) for d in range(1, 6)]
+    df = ts(rows, "GMTIntervalEnd ntz, file_create_time_utc ntz, url string, value int")
+    upsert.upsert_table(spark, df, "mtlf", str(tmp_path))
+    current = spark.read.parquet(str(tmp_path / "mtlf"))
+    batch = df.where("value = 3").withColumn(upsert.PARTITION, F.to_date("GMTIntervalEnd"))
+    touched = upsert.touched_partitions(current, batch)
+    assert touched.count() == 1 and "2024-01-03" in plan(touched).split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_training_windows_reuse_the_series_partitioning(spark):
     dense = base.hourly_price(spark, SF)
     text = plan(training.training_windows(dense, ["LMP"], ["LMP"], input_chunk=48, horizon=24))

@@ -17,8 +17,8 @@ def with_step_index(
     df: DataFrame, ids: Sequence[str] = (params.ID,), time: str = params.TIME, step_hours: int = 1, out: str = "step"
 ) -> DataFrame:
     """Steps since the series' first stamp; on a dense grid this is the row number."""
-    start = F.min(time).over(Window.partitionBy(*ids))
-    return df.withColumn(out, (tu.hours_between(F.col(time), start) / step_hours).cast("int"))
+    marked = df.withColumn("_start", F.min(time).over(Window.partitionBy(*ids)))
+    return marked.withColumn(out, (tu.hours_between(time, "_start") / step_hours).cast("int")).drop("_start")
 
 
 def training_windows(

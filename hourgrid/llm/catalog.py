@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import packing
+from hourgrid.llm import decontaminate, linededup, packing
 
-QUERIES = {"op5_vector_packing": packing.query}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op5_vector_packing": packing.query,
+    "op8_decontamination": decontaminate.query,
+    "op9_line_dedup": linededup.query,
+}
+ORACLE_SQL = {"op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}

@@ -204,7 +204,7 @@ g AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
 lengths AS (SELECT DISTINCT n FROM g),
 p AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n),
 hits AS (SELECT p.r, p.i, p.n, g.item_id FROM p JOIN g ON p.n = g.n AND array_to_string(p.w[p.i:p.i + p.n - 1], ' ') = g.gram),
-covered AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hits) t GROUP BY r),
+covered AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM hits) t GROUP BY r),
 named AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
           FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM hits) t GROUP BY r)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, linededup, packing
+from hourgrid.llm import decontaminate, linededup, packing, quality
 
 QUERIES = {
     "op5_vector_packing": packing.query,
+    "op6_nb_svm_quality": quality.query,
     "op8_decontamination": decontaminate.query,
     "op9_line_dedup": linededup.query,
 }

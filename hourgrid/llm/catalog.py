@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, linededup, packing, quality
+from hourgrid.llm import decontaminate, linededup, packing, quality, toxicity
 
 QUERIES = {
     "op5_vector_packing": packing.query,
@@ -10,4 +10,5 @@ QUERIES = {
     "op8_decontamination": decontaminate.query,
     "op9_line_dedup": linededup.query,
 }
+QUERIES["op10_toxicity_cnn"] = toxicity.query
 ORACLE_SQL = {"op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}

@@ -131,23 +131,33 @@ class SpanHash:
                     steps[0] = 1
                     setattr(self, name, np.cumprod(steps))
 
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        n = len(data)
-        self._grow(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        self._grow(len(data) + 1)
+        out = np.zeros(len(data) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(self.values[data] * self.power[: len(data)], out=out[1:])
+        return out
+
+    def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            np.cumsum(self.values[data] * self.power[:n], out=sums[1:])
             spans = (sums[ends] - sums[starts]) * self.back[starts]
             return mix(spans + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.of(self.sums(data), starts, ends)
+
 
 _HASHES: dict[int, SpanHash] = {}
 
 
-def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+def hasher(seed: int = 1) -> SpanHash:
     if seed not in _HASHES:
         _HASHES[seed] = SpanHash(seed)
-    return _HASHES[seed](data, starts, ends)
+    return _HASHES[seed]
+
+
+def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    return hasher(seed)(data, starts, ends)
 
 
 def ngram_hash(words: np.ndarray, n: int) -> np.ndarray:

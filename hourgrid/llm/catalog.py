@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, linededup, packing, quality, toxicity
+from hourgrid.llm import decontaminate, jaccard, linededup, packing, quality, toxicity
 
 QUERIES = {
     "op5_vector_packing": packing.query,
@@ -11,4 +11,5 @@ QUERIES = {
     "op9_line_dedup": linededup.query,
 }
 QUERIES["op10_toxicity_cnn"] = toxicity.query
+QUERIES["op7_ngram_jaccard"] = jaccard.query
 ORACLE_SQL = {"op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}

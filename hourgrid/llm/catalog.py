@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, jaccard, linededup, packing, quality, toxicity
+from hourgrid.llm import decontaminate, jaccard, linededup, packing, quality, rans, toxicity, warc
 
 QUERIES = {
+    "op1_warc_normalize": warc.query,
+    "op2_rans_tokens": rans.query,
     "op5_vector_packing": packing.query,
     "op6_nb_svm_quality": quality.query,
     "op8_decontamination": decontaminate.query,
@@ -12,4 +14,4 @@ QUERIES = {
 }
 QUERIES["op10_toxicity_cnn"] = toxicity.query
 QUERIES["op7_ngram_jaccard"] = jaccard.query
-ORACLE_SQL = {"op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}
+ORACLE_SQL = {"op1_warc_normalize": warc.SQL, "op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}

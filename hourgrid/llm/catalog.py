@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, jaccard, linededup, packing, quality, rans, suffixtree, toxicity, warc
+from hourgrid.llm import decontaminate, iblt, jaccard, linededup, packing, quality, rans, suffixtree, toxicity, warc
 
 QUERIES = {
     "op1_warc_normalize": warc.query,
     "op2_rans_tokens": rans.query,
+    "op3_iblt_fingerprints": iblt.query,
     "op4_suffix_tree_lm": suffixtree.query,
     "op5_vector_packing": packing.query,
     "op6_nb_svm_quality": quality.query,

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import ALNUM, LOWER, batches, ngram_hash, open_input, open_output, runs, slabs, span_hash, texts
@@ -162,6 +162,22 @@ def _batch(batch: pa.RecordBatch, parts: list) -> pa.RecordBatch:
     )
 
 
+def contaminated_column(items: DataFrame, text: Column, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> Column:
+    """The verdict as a column, so that a filter needs no join."""
+    parts = _parts(texts(items, item_col, item_text_col), window, item_bytes)
+
+    @F.arrow_udf("boolean")
+    def run(column: pa.Array) -> pa.Array:
+        out = []
+        for k in range(0, len(column), 2048):
+            part = column.slice(k, 2048)
+            rows = pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), part], names=["doc_id", "text"])
+            out += _batch(rows, [lambda p=p: _load(p, window) for p in parts]).column(5).to_pylist()
+        return pa.array(out, pa.bool_())
+
+    return run(text)
+
+
 def remove_spans(documents: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with the words of the hit spans cut out; ids must be unique."""
     hit = scanned.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "spans")

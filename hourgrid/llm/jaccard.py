@@ -262,6 +262,17 @@ def join(
     )
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The table without all but the smallest id of each group; of equal rows one stays, a row without an id stays."""
+    found = join(df, id_col, text_col, **options)
+    gone = materialize(found.filter("doc_id <> class_id").select("doc_id").distinct(), "removed")
+    again = materialize(found.filter("n_copies > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    either = gone.unionByName(again).select(F.col("doc_id").alias("__id"))
+    single = df.join(either, df[id_col] == F.col("__id"), "left_anti")
+    repeated = df.join(again.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias("__id")), df[id_col] == F.col("__id"), "left_semi")
+    return single.unionByName(repeated.dropDuplicates([id_col, text_col]))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all documents."""
     from hourgrid.llm.common import table

@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import LOWER, NOT_SPACE, batches, crc_mod, mix, ngram_hash, runs, slabs, span_hash, texts
+from hourgrid.llm.common import LOWER, NOT_SPACE, batches, crc_mod, mix, ngram_hash, runs, slabs, span_hash, texts, use_workers
 from hourgrid.llm.training import labelled, platt, sigmoid
 
 SAMPLE = 6000
@@ -201,6 +201,18 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     return given.mapInArrow(run, "doc_id long, score double")
 
 
+def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The score as a column, so that a filter needs no join."""
+    use_workers(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0), *(shared.value.scores(column.slice(k, 2048)) for k in range(0, len(column), 2048))]))
+
+    return run(text)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; one fold of the labels is held out."""
     from hourgrid.llm.common import table

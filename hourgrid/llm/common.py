@@ -30,6 +30,16 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the table has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def crc_mod(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % mod

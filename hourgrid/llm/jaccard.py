@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import ALNUM, LOWER, batches, mix, ngram_hash, runs, signed, slabs, span_hash, texts
+from hourgrid.llm.common import ALNUM, LOWER, batches, free_names, mix, ngram_hash, runs, signed, slabs, span_hash, texts
 from hourgrid.llm.components import components
 from hourgrid.session import materialize
 
@@ -267,9 +267,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     found = join(df, id_col, text_col, **options)
     gone = materialize(found.filter("doc_id <> class_id").select("doc_id").distinct(), "removed")
     again = materialize(found.filter("n_copies > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    either = gone.unionByName(again).select(F.col("doc_id").alias("__id"))
-    single = df.join(either, df[id_col] == F.col("__id"), "left_anti")
-    repeated = df.join(again.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias("__id")), df[id_col] == F.col("__id"), "left_semi")
+    (name,) = free_names(df, "other_id")
+    either = gone.unionByName(again).select(F.col("doc_id").alias(name))
+    single = df.join(either, df[id_col] == F.col(name), "left_anti")
+    repeated = df.join(again.join(gone, "doc_id", "left_anti").select(F.col("doc_id").alias(name)), df[id_col] == F.col(name), "left_semi")
     return single.unionByName(repeated.dropDuplicates([id_col, text_col]))
 
 

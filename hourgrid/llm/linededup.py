@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import LOWER, SPACE, batches, signed, slabs, span_hash, texts
+from hourgrid.llm.common import LOWER, SPACE, batches, free_names, signed, slabs, span_hash, texts
 from hourgrid.session import materialize
 
 LEAST = 10
@@ -199,22 +199,23 @@ def kept_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
 def drop_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None, least: int = LEAST) -> DataFrame:
     """The table itself with the texts that lose lines replaced, and their number of code points in ``chars_col``."""
-    gone = dropped(df, id_col, text_col, least).select(F.col("doc").alias("__doc"), F.col("part").alias("__part"), F.col("positions").alias("__positions"))
-    key = (F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)) == F.col("__doc")) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col("__part"))
+    doc, part, positions = free_names(df, "dedup_doc", "dedup_part", "dedup_positions")
+    gone = dropped(df, id_col, text_col, least).select(F.col("doc").alias(doc), F.col("part").alias(part), F.col("positions").alias(positions))
+    key = (F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)) == F.col(doc)) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == F.col(part))
 
     @F.arrow_udf("string")
-    def keep(text: pa.Array, positions: pa.Array) -> pa.Array:
+    def keep(text: pa.Array, gone: pa.Array) -> pa.Array:
         out = []
-        for t, p in zip(text.to_pylist(), positions.to_pylist()):
+        for t, p in zip(text.to_pylist(), gone.to_pylist()):
             if p:
                 lines_of = t.split("\n")
                 t = "\n".join([line for line, k in zip(lines_of, _bitmap(len(lines_of), p).tolist()) if k])
             out.append(t)
         return pa.array(out, pa.string())
 
-    both = df.join(gone, key, "left").drop("__doc", "__part").withColumn(text_col, keep(F.col(text_col), F.col("__positions")))
+    both = df.join(gone, key, "left").withColumn(text_col, keep(F.col(text_col), F.col(positions)))
     if chars_col:
-        both = both.withColumn(chars_col, F.when(F.col("__positions").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(df.schema[chars_col].dataType))
+        both = both.withColumn(chars_col, F.when(F.col(positions).isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(df.schema[chars_col].dataType))
     return both.select(*df.columns)
 
 

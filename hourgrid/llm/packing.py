@@ -205,7 +205,7 @@ def _texts_task(path: str, limits: np.ndarray, end_id: int, with_ids: bool):
         for batch in batches(rows, 1024):
             names = batch.column(0).to_pylist()
             labels, demands = [], []
-            for doc_id, ids in zip(names, encoder.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(names, encoder.encode(batch.column(1))):
                 ids = tokens.with_end(ids, end_id)
                 n = len(ids) // 4
                 label = (doc_id, ids, 0, n)

@@ -219,7 +219,7 @@ def tokenize(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
         encoder = tokens.encoder(path)
         narrow = len(encoder.last) <= 1 << 16 and end_id < 1 << 16
         for batch in batches(rows, 1024):
-            raw = [tokens.with_end(x, end_id) for x in encoder.encode(batch.column(1).to_pylist())]
+            raw = [tokens.with_end(x, end_id) for x in encoder.encode(batch.column(1))]
             if narrow:
                 raw = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in raw]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([not narrow] * len(raw)), pa.array(raw, pa.binary())], names=["doc_id", "wide", "ids"])

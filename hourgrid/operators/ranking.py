@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hourgrid.operators.quantile import SLICES, slice_edges, with_slice
+from hourgrid.operators.quantile import slice_edges, with_slice
+from hourgrid.session import materialize
 
 
 def or_infinity(c: str | Column) -> Column:
@@ -41,24 +42,25 @@ def best_row(df: DataFrame, score: str | Column, ties: Sequence[str] = ()) -> Da
     return picked.where(F.col("row").isNotNull()).select("row.*")
 
 
-def pareto_front(df: DataFrame, first: str, second: str, slices: int = SLICES) -> DataFrame:
+def pareto_front(df: DataFrame, first: str, second: str, slices: int | None = None) -> DataFrame:
     """Rows no other row dominates; both objectives are minimised, equal pairs stay together.
 
-    Only the least ``second`` at each ``first`` can be on the front. Those pairs are
-    cut into slices of ``first``; the best ``second`` of all earlier slices comes from
+    Only the least ``second`` at each ``first`` can be on the front. Those pairs, written once, are
+    cut into slices of distinct ``first`` values; the best ``second`` of all earlier slices comes from
     a table with one row per slice, the rest from a running minimum within the slice.
     """
     least = df.where(F.col(first).isNotNull() & F.col(second).isNotNull()).groupBy(
-        F.col(first).alias("_x")
+        F.col(first).cast("double").alias("_x")
     ).agg(F.min(second).alias("_y"))
-    cut = with_slice(least, "_x", slice_edges(df, first, slices), slices)
-    earlier = Window.partitionBy(F.lit(1)).orderBy("_lower").rowsBetween(Window.unboundedPreceding, -1)
-    best = cut.groupBy("_lower").agg(F.min("_y").alias("_m")).select(
-        F.col("_lower").alias("_l"), F.min("_m").over(earlier).alias("_outside")
+    least = materialize(least, "least")
+    cut = with_slice(least, "_x", slice_edges(least, "_x", slices))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    best = cut.groupBy("_i").agg(F.min("_y").alias("_m")).select(
+        F.col("_i").alias("_j"), F.min("_m").over(earlier).alias("_outside")
     )
-    inside = Window.partitionBy("_lower").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
     front = (
-        cut.join(best, F.col("_lower").eqNullSafe(F.col("_l")))
+        cut.join(best, F.col("_i") == F.col("_j"))
         .withColumn("_inside", F.min("_y").over(inside))
         .where(F.coalesce(F.col("_y") < F.least("_outside", "_inside"), F.lit(True)))
     )

@@ -17,11 +17,19 @@ HOUR = "INTERVAL '1' HOUR"
 def fill_grid(
     df: DataFrame, ids: Sequence[str] = (params.ID,), time: str = params.TIME, step: str = HOUR
 ) -> DataFrame:
-    """Insert the missing steps of each series between its own first and last stamp."""
+    """Insert the missing steps of each series between its own first and last stamp.
+
+    Each row brings the steps up to the next row of its series, so the input is read once and
+    nothing is joined. Stamps between steps start from the row before them.
+    """
     ids = list(ids)
-    bounds = df.groupBy(*ids).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    grid = bounds.select(*ids, F.explode(F.sequence("_lo", "_hi", F.expr(step))).alias(time))
-    return grid.join(df, on=[*ids, time], how="left")
+    rest = [c for c in df.columns if c not in (*ids, time)]
+    following = F.lead(time).over(Window.partitionBy(*ids).orderBy(time))
+    one = F.expr(step)
+    gap = F.when(F.col("_next") > F.col(time) + one, F.sequence(F.col(time), F.col("_next") - F.expr("INTERVAL 1 MICROSECOND"), one))
+    steps = df.withColumn("_next", following).withColumn("_steps", F.coalesce(gap, F.array(time))).drop("_next")
+    rows = steps.select(*ids, F.posexplode("_steps").alias("_pos", "_at"), *rest)
+    return rows.select(*ids, F.col("_at").alias(time), *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in rest])
 
 
 def interpolate(

@@ -108,10 +108,17 @@ def window_scale(past: str | Column, field: str) -> tuple[Column, Column]:
     """Mean and population standard deviation of one field over the past rows."""
     past = F.col(past) if isinstance(past, str) else past
     values = F.transform(past, lambda r: r[field].cast("double"))
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    square = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n
-    return mean, F.sqrt(square)
+    # One pass (Welford's updates), so that nothing is computed again for every element.
+    begin = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("square"))
+
+    def add(state, v):
+        n = state["n"] + 1
+        mean = state["mean"] + (v - state["mean"]) / n
+        square = state["square"] + (v - state["mean"]) * (v - mean)
+        return F.struct(n.alias("n"), mean.alias("mean"), square.alias("square"))
+
+    scale = F.aggregate(values, begin, add)
+    return scale["mean"], F.sqrt(scale["square"] / scale["n"])
 
 
 def normalize(value: Column, mean: Column, std: Column, eps: float = 1e-5) -> Column:
@@ -129,20 +136,29 @@ def with_instance_norm(
     """Add the window's scale and its normalised past values; the scale stays with the
     origin so that forecasts can be turned back."""
     mean, std = window_scale("past", field)
-    out = windows.withColumn("norm_mean", mean).withColumn("norm_std", std)
+    # One aggregate serves both numbers: it is a column of its own, which is not merged into its two users.
+    out = windows.withColumn("_scale", F.struct(mean.alias("mean"), std.alias("std")))
+    out = out.withColumns({"norm_mean": F.col("_scale.mean"), "norm_std": F.col("_scale.std")}).drop("_scale")
     return out.withColumn(
         "past_norm",
         F.transform("past", lambda r: normalize(r[field].cast("double"), F.col("norm_mean"), F.col("norm_std"), eps)),
     )
 
 
-def robust_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(value - median) / (p75 - p25), the statistics pooled over all series."""
+def robust_scale(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """(value - median) / (p75 - p25), the statistics pooled over all series.
+
+    The columns are read together, once for the counts of their values.
+    """
     levels = {"lo": 0.25, "mid": 0.5, "hi": 0.75}
-    out = df
-    for c in columns:
-        stats = quantile_columns(df, [], c, levels).select(F.struct("lo", "mid", "hi")).scalar()
-        out = out.withColumn("_s", stats).withColumn(
-            c, F.try_divide(F.col(c).cast("double") - F.col("_s.mid"), F.col("_s.hi") - F.col("_s.lo"))
-        ).drop("_s")
-    return out
+    columns = list(columns)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    stats = quantile_columns(long, ["column_name"], "value", levels, accuracy=accuracy)
+    # One row with a struct per column: as many as there are columns.
+    row = stats.agg(*[F.max(F.when(F.col("column_name") == c, F.struct("lo", "mid", "hi"))).alias(c) for c in columns])
+    out = df.withColumn("_stats", row.select(F.struct(*columns)).scalar())
+    scaled = {
+        c: F.try_divide(F.col(c).cast("double") - F.col("_stats")[c]["mid"], F.col("_stats")[c]["hi"] - F.col("_stats")[c]["lo"])
+        for c in columns
+    }
+    return out.withColumns(scaled).drop("_stats")

@@ -35,10 +35,16 @@ def select_locations(df: DataFrame, pattern: str, exclude: str | None, column: s
     return df.where(~F.col(column).contains(exclude)) if exclude else df
 
 
-def clip_outliers(df: DataFrame, column: str = params.TARGET, quantiles=params.CLIP_QUANTILES) -> DataFrame:
-    """Replace values outside two nearest-rank quantiles of the whole frame by those quantiles."""
+def clip_outliers(
+    df: DataFrame, column: str = params.TARGET, quantiles=params.CLIP_QUANTILES, accuracy: int | None = None
+) -> DataFrame:
+    """Replace values outside two nearest-rank quantiles of the whole frame by those quantiles.
+
+    The quantiles are exact; with an ``accuracy`` they come from a sketch, off by at most a rank
+    in ``accuracy``, without a shuffle of the values.
+    """
     low, high = quantiles
-    bounds = quantile_columns(df, [], column, {"low": low, "high": high}, method="nearest")
+    bounds = quantile_columns(df, [], column, {"low": low, "high": high}, "nearest", accuracy)
     pair = bounds.select(F.struct("low", "high")).scalar()
     marked = df.withColumn("_b", pair)
     kind = df.schema[column].dataType

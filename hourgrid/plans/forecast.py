@@ -1,7 +1,8 @@
 """Probabilistic multi-horizon forecasts for all series at once.
 
 Contract of a member: history in, rows (unique_id, origin, time, horizon, q) out,
-where ``q`` holds one value per quantile level. Members are fitted by aggregation
+where ``q`` holds one value per quantile level. Every target row comes out of every
+member; where a member has no value, its ``q`` is null. Members are fitted by aggregation
 or by a distributed regression; none walks over series one by one.
 """
 
@@ -59,7 +60,35 @@ def predict_profile(profile: DataFrame, targets: DataFrame, ids: Sequence[str] =
     keyed = targets.withColumn("weekday", tu.day_of_week(time))
     if "hour" in keys:
         keyed = keyed.withColumn("hour", tu.hour_of_day(time))
-    return keyed.join(profile, [*ids, *keys]).drop(*keys)
+    return keyed.join(profile, [*ids, *keys], "left").drop(*keys)
+
+
+def fit_fallback(
+    history: DataFrame, levels: Sequence[float] = tuple(params.QUANTILE_LEVELS), ids: Sequence[str] = (ID,), value: str = TARGET,
+) -> tuple[DataFrame, DataFrame]:
+    """Quantiles per series (its hours are bounded) and one row of pooled quantiles over all series."""
+    known = history.where(F.col(value).isNotNull())
+    by_series = known.groupBy(*ids).agg(small_group_quantiles(value, levels).alias("q"))
+    rows = exact_quantiles(known, [], value, levels)
+    pooled = rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("level", "quantile"))), lambda r: r["quantile"]).alias("q"))
+    return by_series, pooled
+
+
+def with_fallback(
+    member: DataFrame, by_series: DataFrame, pooled: DataFrame, ids: Sequence[str] = (ID,), n_levels: int = len(params.QUANTILE_LEVELS),
+) -> DataFrame:
+    """Fill rows without a value: from the quantiles of the series, else from the pooled ones.
+
+    ``n_members`` and the ``fallback`` flag tell which rows were filled.
+    """
+    own = by_series.select(*ids, F.col("q").alias("_own"))
+    everywhere = pooled.where(F.size("q") == n_levels).select("q").scalar()
+    return (
+        member.join(own, list(ids), "left")
+        .withColumn("fallback", F.col("q").isNull())
+        .withColumn("q", F.coalesce("q", "_own", everywhere))
+        .drop("_own")
+    )
 
 
 # --- seasonal naive ------------------------------------------------------------
@@ -94,10 +123,9 @@ def predict_seasonal_naive(
     known = history.select(*ids, F.col(time).alias("_at"), F.col(value).cast("double").alias("_base"))
     shifted = F.transform("residual_q", lambda r: r + F.col("_base"))
     return (
-        keyed.join(known, [*ids, "_at"])
-        .where(F.col("_base").isNotNull())
-        .join(fitted, list(ids))
-        .withColumn("q", shifted)
+        keyed.join(known, [*ids, "_at"], "left")
+        .join(fitted, list(ids), "left")
+        .withColumn("q", F.when(F.col("_base").isNotNull(), shifted))
         .drop("_at", "_base", "residual_q")
     )
 
@@ -112,6 +140,7 @@ class LinearMember:
     residuals: DataFrame            # (horizon, residual_q)
     covariates: tuple[str, ...]
     season_steps: int
+    fill: dict[str, float]          # training means of the features, for missing ones
 
 
 def _linear_rows(
@@ -139,7 +168,7 @@ def _linear_rows(
         ID, F.col(TIME).alias("time"), F.col(TARGET).cast("double").alias("y"),
         *[F.col(c).cast("double").alias(f"f_{c}") for c in covariates],
     )
-    rows = steps.join(at_origin, [ID, "origin"]).join(season, [ID, "time"]).join(now, [ID, "time"], "left")
+    rows = steps.join(at_origin, [ID, "origin"], "left").join(season, [ID, "time"], "left").join(now, [ID, "time"], "left")
     return rows.withColumns({
         "f_horizon": F.col("horizon").cast("double"),
         "f_month": tu.month_of("time").cast("double"),
@@ -162,12 +191,18 @@ def fit_linear(
 ) -> LinearMember:
     """Fit on every (series, origin, horizon) with a known outcome.
 
-    Residual quantiles are taken per horizon over all series, a pool that grows with
+    A missing covariate takes the mean of the training rows, there and in the forecast, so no
+    row is dropped for it. Residual quantiles are taken per horizon over all series, a pool that grows with
     the data, so the exact distributed quantile is used.
     """
+    names = _linear_features(covariates)
     rows = _linear_rows(dense, origins, horizon, covariates, season_steps, step_hours).where(F.col("y").isNotNull())
+    rows = rows.where(F.col("f_last").isNotNull() & F.col("f_season").isNotNull())
     rows = materialize(rows, "linear-rows")
-    assembler = VectorAssembler(inputCols=_linear_features(covariates), outputCol="features", handleInvalid="skip")
+    fill = rows.agg(*[F.avg(n).alias(n) for n in names]).first().asDict()
+    fill = {n: 0.0 if v is None else float(v) for n, v in fill.items()}
+    rows = rows.fillna(fill)
+    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
     regression = LinearRegression(
         featuresCol="features", labelCol="y", predictionCol="point", regParam=regularization, solver="normal",
     )
@@ -179,16 +214,18 @@ def fit_linear(
             F.sort_array(F.collect_list(F.struct("level", "quantile"))), lambda r: r["quantile"]
         ).alias("residual_q")
     )
-    return LinearMember(model, residuals, tuple(covariates), season_steps)
+    return LinearMember(model, residuals, tuple(covariates), season_steps, fill)
 
 
 def predict_linear(
     member: LinearMember, dense: DataFrame, origins: DataFrame, horizon: int = params.HORIZON, step_hours: int = 1
 ) -> DataFrame:
     rows = _linear_rows(dense, origins, horizon, member.covariates, member.season_steps, step_hours)
-    scored = member.model.transform(rows).join(member.residuals, "horizon")
+    known = F.col("f_last").isNotNull() & F.col("f_season").isNotNull()
+    marked = rows.withColumn("_known", known).fillna(member.fill)
+    scored = member.model.transform(marked).join(member.residuals, "horizon", "left")
     return scored.select(
-        ID, "origin", "horizon", "time", F.transform("residual_q", lambda r: r + F.col("point")).alias("q")
+        ID, "origin", "horizon", "time", F.when(F.col("_known"), F.transform("residual_q", lambda r: r + F.col("point"))).alias("q")
     )
 
 
@@ -198,10 +235,15 @@ def ensemble_mean(
     members: Sequence[DataFrame], n_levels: int = len(params.QUANTILE_LEVELS),
     keys: Sequence[str] = (ID, "origin", "horizon", "time"),
 ) -> DataFrame:
-    """Plain average of the members per quantile level; one aggregation, nothing exploded."""
+    """Plain average of the members per quantile level; one aggregation, nothing exploded.
+
+    Members without a value are left out of a row's average; ``n_members`` says how many were in it. A
+    row that no member has a value for stays, with a null ``q``.
+    """
     stacked = reduce(lambda a, b: a.unionByName(b), [m.select(*keys, "q") for m in members])
     means = F.array(*[F.avg(F.col("q")[i]) for i in range(n_levels)])
-    return stacked.groupBy(*keys).agg(means.alias("q"))
+    found = stacked.groupBy(*keys).agg(F.count("q").cast("int").alias("n_members"), means.alias("q"))
+    return found.withColumn("q", F.when(F.col("n_members") > 0, F.col("q")))
 
 
 def _uniform(seed: int, *keys: str | Column) -> Column:

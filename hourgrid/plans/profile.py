@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.operators.quantile import level_columns, quantiles_of_counts, slice_edges, value_counts
+from hourgrid.operators.quantile import level_columns, quantiles_of_counts, value_counts
+from hourgrid.session import materialize
 
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
@@ -24,7 +25,7 @@ def _long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def _profile(long: DataFrame, keys: list[str], decimals: int | None) -> DataFrame:
     """Everything follows from how often each value occurs, so the columns are read once
     for the counts and the rest works on distinct values."""
-    counts = value_counts(long, keys, "value")
+    counts = materialize(value_counts(long, keys, "value"), "value-counts")
     c, v = F.col("_c"), F.col("_v")
     known = F.sum(F.when(v.isNotNull(), c))
     if decimals is None:
@@ -35,7 +36,7 @@ def _profile(long: DataFrame, keys: list[str], decimals: int | None) -> DataFram
         F.sum(c).alias("row_count"), F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("missing_count"),
         F.min(v).alias("min"), F.max(v).alias("max"), (total / known).alias("avg"),
     )
-    rows = quantiles_of_counts(counts, slice_edges(long, "value"), keys, list(QUARTILES.values()))
+    rows = quantiles_of_counts(counts, keys, list(QUARTILES.values()))
     return basics.join(level_columns(rows, keys, QUARTILES), keys, "left")
 
 

@@ -8,7 +8,7 @@ small parquet tables (a row per series and calendar slot) in the artifact folder
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +33,25 @@ class RetrainResult:
 
 
 def fit_members(train: DataFrame, folder: str) -> None:
-    """Fit the hour-of-week profile and the seasonal-naive member and store them."""
+    """Fit the hour-of-week profile, the seasonal-naive member and the quantiles they fall back to, and store them."""
     forecast.fit_profile(train).write.mode("overwrite").parquet(f"{folder}/profile")
     forecast.fit_seasonal_naive(train).write.mode("overwrite").parquet(f"{folder}/seasonal_naive")
+    by_series, pooled = forecast.fit_fallback(train)
+    by_series.write.mode("overwrite").parquet(f"{folder}/series_quantiles")
+    pooled.write.mode("overwrite").parquet(f"{folder}/pooled_quantiles")
 
 
 def predict_stored(spark: SparkSession, folder: str, history: DataFrame, targets: DataFrame) -> DataFrame:
-    """Ensemble mean of the members stored in an artifact folder."""
+    """Ensemble mean of the members stored in an artifact folder, one row for every target.
+
+    A row that no member has a value for takes the quantiles of its series, or of all series; its
+    ``n_members`` is 0 and its ``fallback`` flag is set.
+    """
     by_week = forecast.predict_profile(spark.read.parquet(f"{folder}/profile"), targets)
     naive = forecast.predict_seasonal_naive(spark.read.parquet(f"{folder}/seasonal_naive"), history, targets)
-    return forecast.ensemble_mean([by_week, naive])
+    mean = forecast.ensemble_mean([by_week, naive])
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    return forecast.with_fallback(mean, read("series_quantiles"), read("pooled_quantiles"))
 
 
 def score_on_test(spark: SparkSession, folder: str, history: DataFrame, test: DataFrame, horizon: int) -> DataFrame:
@@ -88,7 +97,10 @@ def retrain(
     held = average.limit(0)
     if champion is not None and not force:
         row = champion.first()
-        rescored = score_on_test(spark, row.artifact_folder, history, parts["test"], horizon)
+        rescored = materialize(score_on_test(spark, row.artifact_folder, history, parts["test"], horizon), "rescored")
+        # Both models forecast every test hour, so the errors are over the same rows.
+        if rescored.count() != scored.count():
+            raise ValueError("the champion and the new model were scored on different rows")
         held = evaluate.model_report(rescored).where(F.col(ID).isNull() & F.col("mae").isNotNull()).select(
             F.lit(MODEL).alias("evaluation"), F.col("mae").alias("avg_mae")
         )
@@ -112,28 +124,43 @@ def score(
     price: DataFrame,
     origin: datetime | str | None = None,
     horizon: int = params.HORIZON,
+    nodes: list[str] | None = None,
 ) -> DataFrame:
-    """Forecast every node with the champion and store the result by origin date.
+    """Forecast nodes with the champion, store the result and return it.
 
-    Prices are clamped; with an origin inside the history, the history is cut there.
-    A request for one node is a filtered read of the stored table.
+    Prices are clamped. All nodes are forecast from one origin: with ``origin``, the first hour to
+    forecast, the hour before it (later prices are not used), else the last hour of the newest node, so a node whose feed lags gets the same hours as the others. Every (node,
+    hour) asked for comes out. A stored forecast is replaced by one of the same node and origin
+    only: the rows of the same origin are read, those of other nodes kept, and the origin's
+    partition is swapped. Only the hours that the members look back to are filled.
     """
     champion = registry.read_champion(spark, f"{base.rstrip('/')}/registry")
     if champion is None:
         raise ValueError("no champion has been promoted yet")
     folder = champion.first().artifact_folder
     clean = price.withColumn(TARGET, clamp(TARGET))
-    dense = series.filled_series(clean, [TARGET])
-    if origin is not None:
-        dense = series.truncate_history(dense, F.lit(str(origin)).cast("timestamp_ntz"))
-    dense = materialize(dense, "history")
-    last = dense.groupBy(ID).agg(F.max(TIME).alias("origin"))
-    q = predict_stored(spark, folder, dense, forecast.forecast_targets(last, horizon))
+    if nodes is not None:
+        clean = clean.where(F.col(ID).isin(nodes))
+    at = clean.agg(F.max(TIME)).first()[0] if origin is None else datetime.fromisoformat(str(origin)) - timedelta(hours=1)
+    if at is None:
+        raise ValueError("there is no price to forecast from")
+    stamp = F.lit(str(at)).cast("timestamp_ntz")
+    back = -(-horizon // forecast.SEASON_HOURS) * forecast.SEASON_HOURS + params.INPUT_CHUNK
+    recent = clean.where((F.col(TIME) <= stamp) & (F.col(TIME) > stamp - F.expr(f"INTERVAL '{back}' HOUR")))
+    dense = materialize(series.filled_series(recent, [TARGET]), "history")
+    asked = clean.select(ID).distinct().withColumn("origin", stamp)
+    q = predict_stored(spark, folder, dense, forecast.forecast_targets(asked, horizon))
+    fresh = materialize(q.withColumn("origin_hour", F.date_format("origin", "yyyy-MM-dd-HH")), "forecast")
     path = f"{base.rstrip('/')}/forecasts"
+    stored = read_table(spark, path)
+    merged = fresh
+    if stored is not None:
+        held = stored.where(F.col("origin_hour") == at.strftime("%Y-%m-%d-%H"))
+        other = held.join(fresh.select(ID, "origin").distinct(), [ID, "origin"], "left_anti").select(*fresh.columns)
+        merged = materialize(fresh.unionByName(other), "forecasts")
     (
-        q.withColumn("origin_date", F.to_date("origin"))
-        .hint("rebalance", "origin_date")
+        merged.hint("rebalance", "origin_hour")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("origin_date").parquet(path)
+        .partitionBy("origin_hour").parquet(path)
     )
-    return spark.read.parquet(path)
+    return fresh.drop("origin_hour")

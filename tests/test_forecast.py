@@ -222,3 +222,24 @@ def test_search_prefers_the_true_season(spark):
     at = F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
     out = trials.score_seasons(df.where(F.col("timestamp_mst") < at), df.where(F.col("timestamp_mst") >= at), [61, 168])
     assert out.orderBy("value_0").first().season_hours == 168
+
+
+def test_every_target_row_comes_out(spark):
+    """Little history, unknown series, missing covariates: rows stay, without a value at worst."""
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", t0 + timedelta(hours=i), float(i % 24), float(i) if i % 3 else None) for i in range(72)]
+    history = spark.createDataFrame(rows, "unique_id string, timestamp_mst timestamp_ntz, LMP double, wind double")
+    origins = spark.createDataFrame([("a", t0 + timedelta(hours=71)), ("new", t0 + timedelta(hours=71))], "unique_id string, origin timestamp_ntz")
+    targets = forecast.forecast_targets(origins, 120)
+    members = forecast.predict_members(history, targets)
+    assert {m.count() for m in members.values()} == {240}
+    mean = forecast.ensemble_mean(list(members.values()))
+    assert mean.count() == 240 and mean.where("n_members = 0 AND q IS NOT NULL").count() == 0
+    filled = forecast.with_fallback(mean, *forecast.fit_fallback(history))
+    assert filled.count() == 240 and filled.where("q IS NULL").count() == 0
+    assert {r.fallback for r in filled.where("unique_id = 'new'").collect()} == {True}
+
+    fit_on = spark.createDataFrame([("a", t0 + timedelta(hours=30))], "unique_id string, origin timestamp_ntz")
+    member = forecast.fit_linear(history, fit_on, 12, ["wind"], season_steps=24)
+    out = forecast.predict_linear(member, history, origins, 24)
+    assert out.count() == 48 and out.where("unique_id = 'a' AND horizon <= 12 AND q IS NULL").count() == 0

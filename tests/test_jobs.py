@@ -50,6 +50,34 @@ def test_retrain_promotes_only_the_better_model_and_scoring_uses_it(spark, base)
     assert spark.read.parquet(f"{base}/forecasts").count() == 96
 
 
+def test_scores_of_other_origins_and_nodes_stay(spark, base, tmp_path):
+    """Two origins of a date, one node alone, a node whose feed lags, three days of history."""
+    home = str(tmp_path)
+    rows = spark.read.parquet(f"{base}/lmp")
+    rows.write.parquet(f"{home}/lmp")
+    training_job.retrain(spark, home, "v1", horizon=48, promoted_at=datetime(2024, 3, 1), **OPTIONS)
+    price = features.prep_price(rows, **OPTIONS)
+    read = lambda: spark.read.parquet(f"{home}/forecasts")
+    run = lambda df, origin=None, **kw: training_job.score(spark, home, df, origin, horizon=24, **kw)
+    assert run(price, "2024-02-20 05:00:00").count() == 48
+    assert run(price, "2024-02-20 06:00:00").count() == 48
+    assert read().count() == 96
+    assert run(price, "2024-02-20 06:00:00", nodes=["PSCO_A"]).count() == 24
+    assert read().count() == 96 and read().select("unique_id", "origin", "horizon").distinct().count() == 96
+
+    late = price.where("unique_id = 'PSCO_A' OR timestamp_mst <= timestamp_ntz '2024-02-01 00:00:00'")
+    out = run(late)
+    assert out.count() == 48 and out.select("origin").distinct().count() == 1
+    assert out.where("q IS NULL").count() == 0 and read().count() == 144
+
+    short = price.where("timestamp_mst >= timestamp_ntz '2024-02-26 00:00:00'").where("unique_id = 'PSCO_A'")
+    new = short.withColumn("unique_id", F.lit("PSCO_NEW"))
+    out = training_job.score(spark, home, short.unionByName(new), horizon=120)
+    assert out.count() == 240 and out.where("q IS NULL OR size(q) <> 21").count() == 0
+    kinds = {(r.unique_id, r.n_members, r.fallback) for r in out.select("unique_id", "n_members", "fallback").distinct().collect()}
+    assert ("PSCO_NEW", 0, True) in kinds and all(n >= 1 for u, n, _ in kinds if u == "PSCO_A")
+
+
 def test_scheduled_runs():
     runs = {r[0]: r[1:] for r in jobs.scheduled_runs(datetime(2026, 3, 10, 14, 3))}
     assert runs["load_forecast"] == ("2026-03-10 15:00:00", 24, 0)

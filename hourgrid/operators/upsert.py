@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.schemas import FEEDS, SOURCE, STAMP, table_keys
+from hourgrid.schemas import FEEDS, MODIFIED, SOURCE, STAMP, table_keys
 from hourgrid.session import materialize
 from hourgrid.sources import feeds
 from hourgrid.sources.tables import read_table, table_path
@@ -33,6 +33,11 @@ def latest_wins(
     return best.select(*keys, "row.*").select(*df.columns)
 
 
+def merge_order(df: DataFrame) -> tuple[str, ...]:
+    """Vintage stamp, file, and the version of the file where the rows have it."""
+    return (STAMP, SOURCE, MODIFIED) if MODIFIED in df.columns else (STAMP, SOURCE)
+
+
 def settled_rank(category: str | Column, settled: Sequence[str]) -> Column:
     """1 for settled sources, 0 otherwise; put before the stamp in ``order`` to let
     daily files beat interval files whatever their stamps."""
@@ -103,7 +108,7 @@ def touched_partitions(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def upsert_table(
-    spark: SparkSession, batch: DataFrame, target: str, base: str, order: Sequence[str | Column] = (STAMP, SOURCE)
+    spark: SparkSession, batch: DataFrame, target: str, base: str, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
     """Merge ``batch`` into the consolidated table and return the row accounting.
 
@@ -113,6 +118,7 @@ def upsert_table(
     dies half-way is repeated with the same result.
     """
     keys = table_keys(target)
+    order = order or merge_order(batch)
     path = table_path(base, target)
     batch = latest_wins(batch, keys, order).withColumn(PARTITION, F.to_date(keys[0]))
     batch = materialize(batch, f"{target}-batch")
@@ -135,7 +141,8 @@ def upsert_table(
 
 
 def rebuild_table(
-    spark: SparkSession, target: str, base: str, out_base: str, order: Sequence[str | Column] = (STAMP, SOURCE)
+    spark: SparkSession, target: str, base: str, out_base: str, order: Sequence[str | Column] | None = None,
+    hourly_method: str = "per_file",
 ) -> None:
     """Consolidate every bronze vintage of a target into a fresh table under ``out_base``.
 
@@ -148,7 +155,11 @@ def rebuild_table(
     ]
     if not sources:
         raise ValueError(f"no bronze data for {target}")
-    rebuilt = latest_wins(feeds.read_bronze(spark, base, *sources), keys, order)
+    parts = [feeds.table_rows(feeds.read_bronze(spark, base, f), hourly_method) for f in sources]
+    vintages = parts[0]
+    for part in parts[1:]:
+        vintages = vintages.unionByName(part)
+    rebuilt = latest_wins(vintages, keys, order or merge_order(vintages))
     (
         rebuilt.withColumn(PARTITION, F.to_date(keys[0]))
         .hint("rebalance", PARTITION)

@@ -84,11 +84,14 @@ LOCATION_COLS = ["Settlement_Location_Name", "PNODE_Name"]
 PRICE_COLS = ["LMP", "MLC", "MCC", "MEC"]
 STAMP = "file_create_time_utc"
 SOURCE = "url"
+MODIFIED = "file_modified"      # when the landed file was last written: tells a revised file of the same name
+INTERVALS = "n_intervals"       # rows behind an hourly price of a file
 
 TABLE_KEYS: dict[str, list[str]] = {
     "mtlf": ["GMTIntervalEnd"],
     "mtrf": ["GMTIntervalEnd"],
     "lmp": ["GMTIntervalEnd_HE", *LOCATION_COLS],
+    "gen_cap": ["GMTIntervalEnd"],
 }
 
 

@@ -1,7 +1,7 @@
 """Landed CSV files to bronze parquet.
 
-One job reads every landed file of a feed. Each row keeps the file it came from
-and that file's creation stamp, so the merge can pick the latest vintage.
+Each row keeps the file it came from, that file's creation stamp and when the file was last
+written, so the merge can pick the latest vintage, also of a file that was revised.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hourgrid.functions import timeutil as tu
 from hourgrid.functions.measures import mean_of
 from hourgrid.schemas import (
-    FEEDS, HOUR_ENDING_COLS, LOCATION_COLS, PRICE_COLS, SOURCE, STAMP, Feed,
+    FEEDS, HOUR_ENDING_COLS, INTERVALS, LOCATION_COLS, MODIFIED, PRICE_COLS, SOURCE, STAMP, Feed,
 )
 from hourgrid.sources.manifest import file_name, file_stamp, missing
 
@@ -21,25 +21,65 @@ def get_feed(feed: str | Feed) -> Feed:
     return FEEDS[feed] if isinstance(feed, str) else feed
 
 
-def read_landed(spark: SparkSession, feed: str | Feed, path: str) -> DataFrame:
-    """All rows of a feed's landed CSV files as text, with the file path as ``url``.
-
-    Files are matched by the feed's name tag, so one landing folder may hold all
-    feeds. Rows that do not fit the header keep their text in ``_corrupt_record``.
-    """
-    feed = get_feed(feed)
-    return (
-        spark.read.schema(feed.csv_schema())
-        .option("header", True)
+def csv_lines(reader, feed: Feed, path: str, names: str | None = None) -> DataFrame:
+    """All lines of a feed's files as text columns, header lines too, with the file and its time."""
+    lines = (
+        reader.schema(feed.csv_schema())
+        .option("header", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{feed.file_tag}[0-9]*.csv")
+        .option("pathGlobFilter", names or f"*{feed.file_tag}[0-9]*.csv")
         .csv(path)
-        .withColumn(SOURCE, F.col("_metadata.file_path"))
     )
+    return lines.withColumns({
+        SOURCE: F.col("_metadata.file_path"), MODIFIED: F.col("_metadata.file_modification_time").cast("timestamp_ntz"),
+    })
+
+
+def _named(feed: Feed) -> list:
+    """Per column: the text with everything but word characters as underscores, and the expected name."""
+    return [(F.regexp_replace(F.trim(c), r"\W+", "_"), c) for c in feed.header]
+
+
+def is_header(feed: Feed):
+    return F.coalesce(_named(feed)[0][0].isin(list(feed.header)), F.lit(False))
+
+
+def check_headers(lines: DataFrame, feed: Feed) -> None:
+    """Raise if a file has no header line with the feed's columns in their order."""
+    fits = is_header(feed) & F.col("_corrupt_record").isNull()
+    for text, name in _named(feed):
+        fits = fits & F.coalesce(text == name, F.lit(False))
+    bad = lines.groupBy(SOURCE).agg(F.max(fits).alias("fits")).where(~F.col("fits")).select(SOURCE).limit(5).collect()
+    if bad:
+        raise ValueError(f"columns of {feed.name} are not {list(feed.header)} in {[r[0] for r in bad]}")
+
+
+def read_landed(spark: SparkSession, feed: str | Feed, path: str, names: str | None = None) -> DataFrame:
+    """All rows of a feed's landed CSV files as text, with the file path as ``url``.
+
+    Files are matched by ``names``, a glob of file names (else by the feed's name tag), so one landing folder
+    may hold all feeds. Headers are compared by name first (see :func:`check_headers`). Rows that do
+    not fit the header keep their text in ``_corrupt_record``.
+    """
+    feed = get_feed(feed)
+    lines = csv_lines(spark.read, feed, path, names)
+    check_headers(lines, feed)
+    return lines.where(~is_header(feed))
+
+
+def name_glob(names: list[str], feed: Feed, most: int = 1000) -> str:
+    """A glob of file names that lets the reader open the files of a manifest only.
+
+    Beyond ``most`` names it goes by the months of their stamps; the manifest is still joined afterwards.
+    """
+    if len(names) <= most:
+        return "{" + ",".join(sorted(names)) + "}"
+    months = sorted({n.rsplit(feed.file_tag, 1)[1][:6] for n in names})
+    return "{" + ",".join(f"*{feed.file_tag}{m}*.csv" for m in months) + "}"
 
 
 def _typed(raw: DataFrame, feed: Feed) -> DataFrame:
@@ -60,14 +100,29 @@ def _is_bad(feed: Feed):
 
 
 def rejected_rows(raw: DataFrame, feed: str | Feed) -> DataFrame:
-    """Rows that do not fit the header or whose time text does not parse."""
+    """Rows that are left out or stored with a gap, and why: they do not fit the header
+    (``columns``), a time does not parse (``time``), or a measure is no number (``number``: the row
+    is stored, without that measure)."""
     feed = get_feed(feed)
-    typed = _typed(raw, feed)
-    return typed.where(_is_bad(feed)).select(
-        SOURCE, "_corrupt_record", *[f"{n}_text" for n in feed.times]
+    texts = raw.withColumnsRenamed(feed.renames).withColumns({f"{m}_text": F.col(m) for m in _renamed(feed)})
+    typed = _typed(texts.withColumnsRenamed({v: k for k, v in feed.renames.items()}), feed)
+    number = F.lit(False)
+    for m in feed.measures:
+        number = number | (F.col(m).isNull() & (F.coalesce(F.trim(f"{m}_text"), F.lit("")) != ""))
+    time = F.lit(False)
+    for name in feed.times:
+        time = time | F.col(name).isNull()
+    reason = F.when(F.col("_corrupt_record").isNotNull(), "columns").when(time, "time").when(number, "number")
+    kept = [c for c in (SOURCE, MODIFIED) if c in raw.columns]
+    return typed.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(
+        *kept, "reason", "_corrupt_record", *[f"{n}_text" for n in (*feed.times, *feed.measures)]
     )
 
 
+def _renamed(feed: Feed) -> tuple[str, ...]:
+    return feed.measures
+
+
 def process_feed(
     raw: DataFrame,
     feed: str | Feed,
@@ -75,6 +130,7 @@ def process_feed(
     hourly_method: str = "per_file",
     measure: str = "float",
     decimals: int | None = None,
+    with_counts: bool = False,
 ) -> DataFrame:
     """Rename, parse, add panel time, cast, aggregate price feeds, add provenance.
 
@@ -89,13 +145,17 @@ def process_feed(
         STAMP: file_stamp(SOURCE, feed, stamp_hour),
     })
     if not feed.hourly:
-        keep = [*feed.times, *feed.measures, "timestamp_mst", STAMP, SOURCE]
+        keep = [*feed.times, *feed.measures, "timestamp_mst", STAMP, SOURCE, *_version(typed)]
         return typed.withColumns({m: F.col(m).cast(measure) for m in feed.measures}).select(keep).dropDuplicates()
-    return hourly_prices(typed, hourly_method, measure, decimals)
+    return hourly_prices(typed, hourly_method, measure, decimals, with_counts)
+
+
+def _version(df: DataFrame) -> list[str]:
+    return [MODIFIED] if MODIFIED in df.columns else []
 
 
 def hourly_prices(
-    intervals: DataFrame, method: str = "per_file", measure: str = "float", decimals: int | None = None
+    intervals: DataFrame, method: str = "per_file", measure: str = "float", decimals: int | None = None, with_counts: bool = False,
 ) -> DataFrame:
     """Hour-ending mean of interval prices per location, with provenance."""
     he = {f"{c}_HE": tu.hour_ending(c) for c in ("Interval", "GMTIntervalEnd", "timestamp_mst")}
@@ -103,7 +163,7 @@ def hourly_prices(
     means = [mean_of(c, decimals).cast(measure).alias(c) for c in PRICE_COLS]
     keys = [*HOUR_ENDING_COLS, *LOCATION_COLS]
     if method == "per_file":
-        out = keyed.groupBy(*keys, STAMP, SOURCE).agg(*means)
+        out = keyed.groupBy(*keys, STAMP, SOURCE, *_version(keyed)).agg(*means, F.count(F.lit(1)).alias(INTERVALS))
     elif method == "mean":
         newest = F.max(F.struct(STAMP, SOURCE)).alias("newest")
         out = keyed.groupBy(*keys).agg(*means, newest).select(
@@ -111,7 +171,27 @@ def hourly_prices(
         )
     else:
         raise ValueError(f"method must be per_file or mean, got {method!r}")
-    return out.select(*keys, *PRICE_COLS, STAMP, SOURCE)
+    counts = [INTERVALS] if with_counts and INTERVALS in out.columns else []
+    return out.select(*keys, *PRICE_COLS, STAMP, SOURCE, *_version(out), *counts)
+
+
+def table_rows(bronze: DataFrame, method: str = "per_file", measure: str = "float") -> DataFrame:
+    """Bronze rows as the consolidated table takes them.
+
+    ``per_file``: as they are. ``mean``: the mean of an hour over the latest version of all its
+    files, each with the number of its intervals as weight, and the newest file's provenance.
+    """
+    if INTERVALS not in bronze.columns or method == "per_file":
+        return bronze.drop(INTERVALS)
+    keys = [*HOUR_ENDING_COLS, *LOCATION_COLS]
+    version = _version(bronze)
+    rest = [*PRICE_COLS, STAMP, INTERVALS, *version]
+    latest = bronze.groupBy(*keys, SOURCE).agg(F.max_by(F.struct(*rest), F.struct(*version, STAMP)).alias("row")).select(*keys, SOURCE, "row.*")
+    weighed = lambda c: F.sum(F.col(c).cast("double") * F.col(INTERVALS)) / F.sum(F.when(F.col(c).isNotNull(), F.col(INTERVALS)))
+    newest = F.max(F.struct(STAMP, SOURCE, *version)).alias("newest")
+    return latest.groupBy(*keys).agg(*[weighed(c).cast(measure).alias(c) for c in PRICE_COLS], newest).select(
+        *keys, *PRICE_COLS, *[f"newest.{c}" for c in (STAMP, SOURCE, *version)]
+    )
 
 
 def bronze_path(base: str, feed: str | Feed) -> str:
@@ -130,6 +210,11 @@ def write_bronze(df: DataFrame, base: str, feed: str | Feed) -> None:
     )
 
 
+def dated(bronze: DataFrame, first, last) -> DataFrame:
+    """Bronze rows of files stamped on these dates; other partitions are not listed."""
+    return bronze.where(F.col("file_date").between(F.lit(first), F.lit(last)))
+
+
 def read_bronze(spark: SparkSession, base: str, *feeds: str | Feed) -> DataFrame:
     """All vintages of one or more feeds of the same target."""
     parts = [spark.read.parquet(bronze_path(base, f)).drop("file_date") for f in feeds]
@@ -140,8 +225,9 @@ def read_bronze(spark: SparkSession, base: str, *feeds: str | Feed) -> DataFrame
 
 
 def only_new_files(raw: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Rows of files that bronze does not hold yet, so that a repeated run adds nothing."""
-    return missing(raw, bronze.select(SOURCE).distinct(), on=SOURCE)
+    """Rows of files, or versions of files, that bronze does not hold yet, so that a repeated run adds nothing."""
+    on = [SOURCE, *[c for c in (MODIFIED,) if c in raw.columns and c in bronze.columns]]
+    return missing(raw, bronze.select(*on).distinct(), on=on)
 
 
 def file_report(manifest: DataFrame, processed: DataFrame) -> DataFrame:

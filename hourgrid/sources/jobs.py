@@ -2,19 +2,81 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.operators.upsert import upsert_table
-from hourgrid.schemas import SOURCE
+from hourgrid.schemas import HOUR_ENDING_COLS, INTERVALS, LOCATION_COLS, SOURCE
 from hourgrid.session import materialize
 from hourgrid.sources import feeds, manifest, tables
 
 # Periods each scheduled run asks for, per feed.
-INCREMENTAL_PERIODS = {"load_forecast": 24, "renewable_forecast": 24, "price_5min": 288, "price_daily": 7}
-BACKFILL_PERIODS = {"load_forecast": 17520, "renewable_forecast": 17520, "price_5min": 288, "price_daily": 730}
+INCREMENTAL_PERIODS = {"load_forecast": 24, "renewable_forecast": 24, "price_5min": 288, "price_daily": 7, "generation_by_fuel": 7}
+BACKFILL_PERIODS = {"load_forecast": 17520, "renewable_forecast": 17520, "price_5min": 288, "price_daily": 730, "generation_by_fuel": 730}
+
+
+@dataclass
+class Staged:
+    """New rows of landed files, those set aside, and what bronze holds of the same dates."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    held: DataFrame | None
+
+
+def stage(
+    spark: SparkSession, feed: str, landing: str, base: str, requested: DataFrame | None = None, stamp_hour: int = 0,
+) -> Staged:
+    """Read landed files whose version bronze does not hold yet.
+
+    With a ``requested`` manifest only its files are opened, and only bronze of the dates of their stamps is read, so
+    a run costs what its manifest costs. A file that was written again since is taken again.
+    """
+    spec = feeds.get_feed(feed)
+    held = tables.read_table(spark, feeds.bronze_path(base, feed))
+    names = None
+    if requested is not None:
+        wanted = requested.select(manifest.file_name(SOURCE).alias("file")).distinct()
+        names = [r.file for r in wanted.collect()]
+        if held is not None:
+            day = F.to_date(manifest.file_stamp(F.col("file"), spec, stamp_hour))
+            # Stamps of daily files move with the hour of the run, so a day to either side.
+            first, last = wanted.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).first()
+            held = feeds.dated(held, first, last)
+    raw = feeds.read_landed(spark, feed, landing, feeds.name_glob(names, spec) if names else None)
+    if requested is not None:
+        raw = manifest.landed(raw.withColumn("file", manifest.file_name(SOURCE)), wanted, on="file").drop("file")
+    if held is not None:
+        raw = feeds.only_new_files(raw, held)
+    raw = materialize(raw, "landed")
+    return Staged(
+        materialize(feeds.process_feed(raw, feed, stamp_hour, with_counts=True), "ingest"), materialize(feeds.rejected_rows(raw, feed), "rejected"), held
+    )
+
+
+def store(staged: Staged, base: str, feed: str) -> None:
+    """Append staged rows to bronze and set-aside rows to the folder beside it."""
+    if not staged.rows.isEmpty():
+        feeds.write_bronze(staged.rows, base, feed)
+    if not staged.rejected.isEmpty():
+        staged.rejected.write.mode("append").parquet(f"{base.rstrip('/')}/rejected/{feeds.get_feed(feed).category}")
+
+
+def batch_for_table(staged: Staged, hourly_method: str = "per_file") -> DataFrame:
+    """What the consolidated table takes from a staged batch.
+
+    With ``mean``, the hours the batch touches are computed anew from all their files: those of
+    the batch and those that bronze holds.
+    """
+    rows = staged.rows
+    if hourly_method == "mean" and INTERVALS in rows.columns and staged.held is not None:
+        keys = [*HOUR_ENDING_COLS, *LOCATION_COLS]
+        earlier = staged.held.drop("file_date").join(rows.select(*keys).distinct(), keys, "left_semi")
+        rows = rows.unionByName(earlier.select(*rows.columns))
+    return feeds.table_rows(rows, hourly_method)
 
 
 def ingest(
@@ -24,25 +86,11 @@ def ingest(
     base: str,
     requested: DataFrame | None = None,
     stamp_hour: int = 0,
-    hourly_method: str = "per_file",
 ) -> DataFrame | None:
-    """Process landed files that bronze does not hold yet and append them.
-
-    With a ``requested`` manifest only its files are taken. Returns the new rows
-    as stored, or None when there were none.
-    """
-    raw = feeds.read_landed(spark, feed, landing)
-    if requested is not None:
-        wanted = requested.select(manifest.file_name(SOURCE).alias("file"))
-        raw = manifest.landed(raw.withColumn("file", manifest.file_name(SOURCE)), wanted, on="file").drop("file")
-    held = tables.read_table(spark, feeds.bronze_path(base, feed))
-    if held is not None:
-        raw = feeds.only_new_files(raw, held)
-    batch = materialize(feeds.process_feed(raw, feed, stamp_hour, hourly_method), "ingest")
-    if batch.isEmpty():
-        return None
-    feeds.write_bronze(batch, base, feed)
-    return batch
+    """Append new landed files to bronze; the new rows as stored, or None when there were none."""
+    staged = stage(spark, feed, landing, base, requested, stamp_hour)
+    store(staged, base, feed)
+    return None if staged.rows.isEmpty() else staged.rows
 
 
 def collect(
@@ -54,30 +102,32 @@ def collect(
     periods: int | None = None,
     prefix: str = "MKT",
     stamp_hour: int = 0,
+    hourly_method: str = "per_file",
 ) -> dict[str, DataFrame | None]:
-    """One scheduled run of a feed: manifest, ingest, upsert, and what is missing.
+    """One scheduled run of a feed: manifest, new files, upsert, what is missing and what was set aside.
 
-    A backfill is the same run with ``BACKFILL_PERIODS``.
+    A backfill is the same run with ``BACKFILL_PERIODS``. The table is merged before bronze is
+    appended: a run that dies between takes the same files again and changes nothing.
     """
     spec = feeds.get_feed(feed)
     periods = periods or INCREMENTAL_PERIODS[feed]
     requested = manifest.feed_manifest(spark, spec, end, periods, prefix)
-    batch = ingest(spark, feed, landing, base, requested, stamp_hour)
+    staged = stage(spark, feed, landing, base, requested, stamp_hour)
     stats = None
-    if batch is not None:
-        stats = upsert_table(spark, batch, spec.target, base)
-    held = tables.read_table(spark, feeds.bronze_path(base, feed))
-    if held is None:
-        absent = requested.withColumn("landed", F.lit(False))
-    else:
-        absent = feeds.file_report(requested, held)
-    return {"stats": stats, "missing": absent.where(~F.col("landed"))}
+    if not staged.rows.isEmpty():
+        stats = upsert_table(spark, batch_for_table(staged, hourly_method), spec.target, base)
+    store(staged, base, feed)
+    seen = staged.rows.select(SOURCE)
+    if staged.held is not None:
+        seen = seen.unionByName(staged.held.select(SOURCE))
+    absent = feeds.file_report(requested, seen)
+    return {"stats": stats, "missing": absent.where(~F.col("landed")), "rejected": staged.rejected}
 
 
 def scheduled_runs(now: datetime, backfill: bool = False) -> list[tuple[str, str, int, int]]:
     """(feed, end stamp, periods, stamp hour) of one collection round.
 
-    Forecasts and interval prices end at the current hour or 5 minutes; daily prices
+    Forecasts and interval prices end at the current hour or 5 minutes; daily prices and generation
     end two days ago, when their files are settled, and carry the hour of the run.
     """
     hour = now.replace(minute=0, second=0, microsecond=0)
@@ -85,6 +135,6 @@ def scheduled_runs(now: datetime, backfill: bool = False) -> list[tuple[str, str
     five = now - timedelta(minutes=now.minute % 5, seconds=now.second, microseconds=now.microsecond)
     five = five if five == now else five + timedelta(minutes=5)
     day = (now - timedelta(days=2)).replace(hour=0, minute=0, second=0, microsecond=0)
-    ends = {"load_forecast": hour, "renewable_forecast": hour, "price_5min": five, "price_daily": day}
+    ends = {"load_forecast": hour, "renewable_forecast": hour, "price_5min": five, "price_daily": day, "generation_by_fuel": day}
     periods = BACKFILL_PERIODS if backfill else INCREMENTAL_PERIODS
-    return [(feed, str(end), periods[feed], hour.hour if feed == "price_daily" else 0) for feed, end in ends.items()]
+    return [(feed, str(end), periods[feed], hour.hour if feeds.get_feed(feed).frequency == "D" else 0) for feed, end in ends.items()]

@@ -10,26 +10,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hourgrid.functions.measures import mean_of
 from hourgrid.operators.upsert import upsert_table
-from hourgrid.schemas import SOURCE
-from hourgrid.sources import feeds
+from hourgrid.schemas import STAMP
+from hourgrid.session import materialize
+from hourgrid.sources import feeds, jobs
+from hourgrid.sources.tables import read_table
 
 
 def landed_stream(spark: SparkSession, feed: str, path: str, max_files: int | None = None) -> DataFrame:
-    """Landed CSV files of a feed as a stream of text rows with their file path."""
-    spec = feeds.get_feed(feed)
-    reader = (
-        spark.readStream.schema(spec.csv_schema())
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{spec.file_tag}[0-9]*.csv")
-    )
+    """Lines of a feed's landed CSV files as a stream of text rows, header lines too, with their file."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path).withColumn(SOURCE, F.col("_metadata.file_path"))
+    return feeds.csv_lines(reader, feeds.get_feed(feed), path)
 
 
 def continuous_ingest(
@@ -41,18 +33,32 @@ def continuous_ingest(
     interval: str | None = None,
     max_files: int | None = None,
     stamp_hour: int = 0,
+    hourly_method: str = "per_file",
 ) -> StreamingQuery:
-    """Merge each micro-batch of landed files into the feed's table.
+    """Merge each micro-batch of landed files into the feed's table and append it to bronze.
 
-    The merge keeps the latest vintage per key, so replaying a batch after a failure
-    changes nothing. Without an interval, all waiting files are taken and the query ends.
+    The merge keeps the latest vintage per key, and bronze takes only file versions that it does not
+    hold, so replaying a batch after a failure changes nothing and a rebuild from bronze has all streamed
+    rows. Without an interval, all waiting files are taken and the query ends.
     """
     spec = feeds.get_feed(feed)
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        rows = feeds.process_feed(batch, spec, stamp_hour)
+        session = batch.sparkSession
+        lines = materialize(batch, "lines")
+        feeds.check_headers(lines, spec)
+        raw = lines.where(~feeds.is_header(spec))
+        rows = materialize(feeds.process_feed(raw, spec, stamp_hour, with_counts=True), "rows")
+        rejected = feeds.rejected_rows(raw, spec)
+        held = read_table(session, feeds.bronze_path(base, spec))
+        if held is not None and not rows.isEmpty():
+            first, last = rows.agg(F.to_date(F.min(STAMP)), F.to_date(F.max(STAMP))).first()
+            held = feeds.dated(held, first, last)
+        everything = jobs.Staged(rows, rejected, held)
         if not rows.isEmpty():
-            upsert_table(batch.sparkSession, rows, spec.target, base)
+            upsert_table(session, jobs.batch_for_table(everything, hourly_method), spec.target, base)
+        fresh = rows if held is None else feeds.only_new_files(rows, held)
+        jobs.store(jobs.Staged(materialize(fresh, "fresh"), rejected, held), base, feed)
 
     writer = landed_stream(spark, feed, landing, max_files).writeStream.foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import datetime
+import os
+from datetime import date, datetime
 
 import pytest
 
@@ -148,3 +149,92 @@ def test_csv_export_names(spark, ts, tmp_path):
 
 def test_every_feed_has_a_file_tag_in_its_path():
     assert all(f.file_tag in f.path for f in FEEDS.values())
+
+
+def put_time(path, when):
+    os.utime(path, (when, when))
+
+
+def test_revised_file_is_collected_again(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    name = "MKT-OP-MTLF-202304010700.csv"
+    folder = landing(name, LOAD.format(a=10, b=11))
+    run = lambda: jobs.collect(spark, "load_forecast", folder, base, "2023-04-01 07:00:00", 1)
+    put_time(f"{folder}/{name}", 1_700_000_000)
+    run()
+    landing(name, LOAD.format(a=99, b=11))
+    put_time(f"{folder}/{name}", 1_700_000_100)
+    assert run()["stats"].first().rows_updated == 2
+    values = lambda path: sorted(r.MTLF for r in spark.read.parquet(path).collect())
+    assert values(f"{base}/mtlf") == [11.0, 99.0]
+    assert run()["stats"] is None
+    rebuild_table(spark, "mtlf", base, f"{base}/again")
+    assert values(f"{base}/again/mtlf") == [11.0, 99.0]
+
+
+def test_hourly_mean_over_runs(spark, landing, tmp_path):
+    """Files of an hour that arrive in different runs, one of them revised."""
+    base = str(tmp_path / "base")
+    for k, a in enumerate((20, 22, 90)):
+        folder = landing(f"MKT-RTBM-LMP-SL-2023040107{5 * k + 5:02d}.csv", PRICE5.format(a=a))
+        put_time(f"{folder}/MKT-RTBM-LMP-SL-2023040107{5 * k + 5:02d}.csv", 1_700_000_000 + k)
+        jobs.collect(spark, "price_5min", folder, base, f"2023-04-01 07:{5 * k + 5:02d}:00", k + 1, hourly_method="mean")
+    price = lambda at=base: {r.PNODE_Name: round(r.LMP, 4) for r in spark.read.parquet(f"{at}/lmp").collect()}
+    assert price() == {"PA": 44.0, "PB": 30.0}
+    landing("MKT-RTBM-LMP-SL-202304010715.csv", PRICE5.format(a=24))
+    put_time(f"{folder}/MKT-RTBM-LMP-SL-202304010715.csv", 1_700_009_000)
+    out = jobs.collect(spark, "price_5min", folder, base, "2023-04-01 07:15:00", 3, hourly_method="mean")
+    assert price() == {"PA": 22.0, "PB": 30.0} and out["missing"].count() == 0
+    rebuild_table(spark, "lmp", base, f"{base}/again", hourly_method="mean")
+    assert price(f"{base}/again") == price()
+
+
+def test_rejected_rows_are_stored_with_a_reason(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    text = LOAD.format(a="12x", b=2) + "not a time,04/01/2023 15:00:00,3,4\none,two\n"
+    folder = landing("MKT-OP-MTLF-202304010700.csv", text)
+    out = jobs.collect(spark, "load_forecast", folder, base, "2023-04-01 07:00:00", 1)
+    assert sorted(r.reason for r in out["rejected"].collect()) == ["columns", "number", "time"]
+    assert spark.read.parquet(f"{base}/rejected/mtlf").count() == 3
+    assert sorted((r.MTLF or 0) for r in spark.read.parquet(f"{base}/mtlf").collect()) == [0, 2.0]
+
+
+def test_headers_are_compared_by_name(spark, landing):
+    swapped = "Interval,GMTIntervalEnd,Solar Forecast MW,Wind Forecast MW\n04/01/2023 07:00:00,04/01/2023 13:00:00,1,2\n"
+    folder = landing("MKT-OP-MTRF-202304010700.csv", swapped)
+    with pytest.raises(ValueError, match="columns of renewable_forecast"):
+        feeds.read_landed(spark, "renewable_forecast", folder)
+    landing("MKT-OP-MTRF-202304010700.csv", swapped.split("\n", 1)[1])
+    with pytest.raises(ValueError):
+        feeds.read_landed(spark, "renewable_forecast", folder)
+
+
+def test_generation_is_consolidated(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    folder = landing("MKT-HRLY-GEN-CAP-BY-FUEL-TYPE-20230401.csv", FUEL)
+    out = jobs.collect(spark, "generation_by_fuel", folder, base, "2023-04-01 00:00:00", stamp_hour=3)
+    assert out["stats"].first().rows_inserted == 1 and out["missing"].count() == 6
+    assert spark.read.parquet(f"{base}/gen_cap").first().Wind == 7.0
+
+
+def test_streamed_rows_reach_bronze_once(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    folder = landing("MKT-OP-MTLF-202304010700.csv", LOAD.format(a=100, b=110))
+    landing("MKT-OP-MTLF-202304010800.csv", LOAD.format(a=101, b=111))
+    for check in ("one", "two"):        # a second query without the first one's checkpoint replays everything
+        streams.continuous_ingest(spark, "load_forecast", folder, base, str(tmp_path / check), max_files=1).awaitTermination()
+    assert feeds.read_bronze(spark, base, "load_forecast").count() == 4
+    rebuild_table(spark, "mtlf", base, f"{base}/again")
+    assert sorted(r.MTLF for r in spark.read.parquet(f"{base}/again/mtlf").collect()) == [101.0, 111.0]
+
+
+def test_a_run_opens_its_own_files_and_dates_only(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    for day in ("0401", "0402", "0403"):
+        folder = landing(f"MKT-OP-MTLF-2023{day}0700.csv", LOAD.format(a=1, b=2))
+        jobs.collect(spark, "load_forecast", folder, base, f"2023-04-{day[2:]} 07:00:00", 1)
+    names = feeds.name_glob(["MKT-OP-MTLF-202304020700.csv"], FEEDS["load_forecast"])
+    assert [f.rsplit("/", 1)[1] for f in feeds.read_landed(spark, "load_forecast", folder, names).inputFiles()] == ["MKT-OP-MTLF-202304020700.csv"]
+    held = feeds.dated(spark.read.parquet(feeds.bronze_path(base, "load_forecast")), date(2023, 4, 3), date(2023, 4, 3))
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_date" in plan and held.count() == 2

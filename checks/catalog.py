@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from checks import forecasts, jobs, panel, streams, tables
+from checks import defaults, forecasts, jobs, panel, streams, tables
 
-QUERIES = {**panel.Q, **tables.Q, **forecasts.Q, **streams.Q, **jobs.Q}
+QUERIES = {**panel.Q, **tables.Q, **forecasts.Q, **streams.Q, **jobs.Q, **defaults.Q}

@@ -75,7 +75,7 @@ def retrain(
     promoted_at: datetime | None = None,
     **price_options,
 ) -> RetrainResult:
-    """Snapshot, fit, evaluate against the champion, promote."""
+    """Snapshot, fit, evaluate against the champion, fit again with the test hours and promote."""
     tables = [t for t in ("lmp", "mtlf", "mtrf") if read_table(spark, table_path(base, t)) is not None]
     snapshot = registry.snapshot_tables(spark, base, tables, version)
     frames = {t: spark.read.parquet(table_path(snapshot, t)) for t in tables}
@@ -85,11 +85,12 @@ def retrain(
     dense = materialize(series.filled_series(price, [TARGET]), "series")
     parts = series.temporal_split(dense, TIME, input_chunk, buffer_hours)
     folder = f"{base.rstrip('/')}/model_retrains/{version}"
-    fit_members(parts["train"], folder)
+    evaluation = f"{folder}/evaluation"
+    fit_members(parts["train"], evaluation)
 
     log = f"{base.rstrip('/')}/registry"
     history = series.truncate_history(dense, parts["test"].agg(F.min(TIME)).scalar())
-    scored = materialize(score_on_test(spark, folder, history, parts["test"], horizon), "scored")
+    scored = materialize(score_on_test(spark, evaluation, history, parts["test"], horizon), "scored")
     report = evaluate.model_report(scored)
     report.write.parquet(f"{folder}/report")
     average = report.where(F.col(ID).isNull()).select(F.lit(MODEL).alias("evaluation"), F.col("mae").alias("avg_mae"))
@@ -97,7 +98,9 @@ def retrain(
     held = average.limit(0)
     if champion is not None and not force:
         row = champion.first()
-        rescored = materialize(score_on_test(spark, row.artifact_folder, history, parts["test"], horizon), "rescored")
+        held_folder = f"{row.artifact_folder}/evaluation"
+        held_folder = held_folder if read_table(spark, f"{held_folder}/profile") is not None else row.artifact_folder
+        rescored = materialize(score_on_test(spark, held_folder, history, parts["test"], horizon), "rescored")
         # Both models forecast every test hour, so the errors are over the same rows.
         if rescored.count() != scored.count():
             raise ValueError("the champion and the new model were scored on different rows")
@@ -108,6 +111,8 @@ def retrain(
     verdict = decision.first()
     if verdict is not None and verdict.promoted:
         evaluate.smoke_test(scored)
+        # What is promoted has seen the test hours too; the errors above are of the fit without them.
+        fit_members(parts["train_test"], folder)
         overall = report.where(F.col(ID).isNull()).first()
         at = promoted_at or datetime.now()
         registry.promote(spark, log, {

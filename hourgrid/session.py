@@ -35,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="hourgrid-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -40,7 +40,7 @@ from hourgrid.llm.components import components
 from hourgrid.session import materialize
 
 WORDS, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999, 6
-BLOCK = 400_000         # shingles of a block
+BLOCK = 120_000         # shingles of a block
 UNNAMED = 1 << 62       # ids are smaller; rows without one take a number from here on
 
 

@@ -119,3 +119,11 @@ def test_shared_dir_and_materialize(spark):
     assert shared_dir(spark) == shared_dir(spark)
     df = materialize(spark.range(5))
     assert df.count() == 5 and "Scan parquet" in df._jdf.queryExecution().toString()
+
+
+def test_as_of_keeps_every_request_and_breaks_ties(spark, ts):
+    asks = ts([("a", "2024-01-02 00:00:00"), (None, "2024-01-02 00:00:00"), ("a", None), ("a", "2023-01-01 00:00:00"), ("b", "2024-01-05 00:00:00")], "k string, at ntz")
+    held = ts([("a", "2024-01-01 10:00:00", 1.0), ("a", "2024-01-01 10:00:00", 3.0), ("a", "2024-01-01 10:00:00", 2.0), (None, "2024-01-01 10:00:00", 9.0), ("b", None, 5.0)], "k string, stamp ntz, v double")
+    out = asof.vintage_as_of(asks, held.repartition(4), ["k"], "at", "stamp", ["v"])
+    got = sorted((r.k or "", str(r.at), r.v) for r in out.collect())
+    assert got == [("", "2024-01-02 00:00:00", None), ("a", "2023-01-01 00:00:00", None), ("a", "2024-01-02 00:00:00", 3.0), ("a", "None", None), ("b", "2024-01-05 00:00:00", None)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hourgrid.llm.common import LOWER, NOT_SPACE, batches, crc_mod, mix, ngram_hash, runs, slabs, span_hash, texts, use_workers
 from hourgrid.llm.training import labelled, platt, sigmoid
 
-SAMPLE = 6000
+SAMPLE = 4000
 FOLD = (5, 0)
 ACCEPT = 0.3
 BITS = 18
@@ -147,14 +147,15 @@ def fit_rows(y: np.ndarray, lists: list[np.ndarray], bits: int = BITS) -> Model:
     order = np.random.default_rng(3).permutation(len(y))
     y, lists = y[order], [lists[k] for k in order]
     indptr = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-    cols = np.concatenate(lists).astype(np.int64) if indptr[-1] else np.zeros(0, np.int64)
+    cols = np.concatenate(lists) if indptr[-1] else np.zeros(0, np.int32)
+    del lists
     row_y = np.repeat(y, np.diff(indptr))
     p = np.bincount(cols[row_y == 1], minlength=width) + ALPHA
     q = np.bincount(cols[row_y == 0], minlength=width) + ALPHA
     ratio = np.log((p / ((y == 1).sum() + 2 * ALPHA)) / (q / ((y == 0).sum() + 2 * ALPHA)))
     ratio[(p == ALPHA) & (q == ALPHA)] = 0
     size = np.sqrt(np.bincount(np.repeat(np.arange(len(y)), np.diff(indptr)), (ratio * ratio)[cols], len(y))) + 1e-12
-    values = ratio[cols] / np.repeat(size, np.diff(indptr))
+    values = (ratio[cols] / np.repeat(size, np.diff(indptr))).astype(np.float32)
     cost = COST * np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum()))
     seen = max(1, len(y) * 9 // 10)
     aside = slice(seen, None) if len(set(y[:seen])) == 2 and len(set(y[seen:])) == 2 and len(y) >= 100 else slice(None)
@@ -178,10 +179,12 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", sam
 
     rows = labelled(documents, labels, label_col, fold, sample).select("y", "text")
     got = rows.mapInArrow(run, "y long, features array<int>").toArrow()
-    lists = [np.array(x, np.int32) for chunk in got.column(1).chunks for x in _lists(chunk)]
+    lists = [x for chunk in got.column(1).chunks for x in _lists(chunk)]
     y = got.column(0).to_numpy()
-    order = sorted(range(len(y)), key=lambda k: (y[k], len(lists[k]), lists[k].tobytes()))      # not the order of tasks
-    return fit_rows(y[order], [lists[k] for k in order])
+    del got
+    order = sorted(range(len(y)), key=lambda k: (y[k], len(lists[k]), lists[k][:64].tobytes(), lists[k].sum()))      # not the order of tasks
+    lists = [lists[k] for k in order]
+    return fit_rows(y[order], lists)
 
 
 def _lists(chunk: pa.ListArray) -> list[np.ndarray]:

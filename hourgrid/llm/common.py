@@ -170,6 +170,38 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return hasher(seed)(data, starts, ends)
 
 
+class Lookup:
+    """Places of 64-bit hashes in an array of distinct ones, -1 for others: two slots each, a sorted list for the few that miss both."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.uint64(0))       # place -1 reads the last entry
+        self.bits = max(8, int(len(keys)).bit_length() + 1)
+        self.slots = np.full((2, 1 << self.bits), -1, np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
+        for way in range(2):
+            place = self._place(keys[left], way)
+            self.slots[way, place] = left
+            left = left[self.slots[way, place] != left]
+        order = np.argsort(keys[left])
+        self.rest, self.rest_keys = left[order], keys[left][order]
+
+    def _place(self, hashes: np.ndarray, way: int) -> np.ndarray:
+        return ((hashes >> np.uint64(way * self.bits)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.slots[0, self._place(hashes, 0)]
+        out[self.keys[out] != hashes] = -1
+        missing = np.flatnonzero(out < 0)
+        second = self.slots[1, self._place(hashes[missing], 1)]
+        second[self.keys[second] != hashes[missing]] = -1
+        out[missing] = second
+        if len(self.rest):
+            missing = missing[second < 0]
+            at = np.minimum(np.searchsorted(self.rest_keys, hashes[missing]), len(self.rest) - 1)
+            out[missing] = np.where(self.rest_keys[at] == hashes[missing], self.rest[at], -1)
+        return out
+
+
 def ngram_hash(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each place on (len - n + 1 entries)."""
     count = len(words) - n + 1

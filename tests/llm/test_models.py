@@ -134,6 +134,21 @@ def test_tree_is_a_distribution(spark, documents):
         assert 0.99 < p.sum() <= 1 + 1e-9
 
 
+def test_tree_grows_with_the_corpus(spark, monkeypatch):
+    """Contexts of one language are kept however much text of others there is, and scores do not depend on what is broadcast."""
+    monkeypatch.setattr(suffixtree, "BLOCK", 2000)
+    rare = [(0, "qzxv qzxv"), *[(k, "jwkp bbbn jwkp bbbn " * 3) for k in range(1, 20)]]
+    other = [(100 + k, " ".join(f"{w} plain words {w}" for w in ("alpha", "beta", "gamma"))) for k in range(3000)]
+    df = spark.createDataFrame(rare + other, "doc_id long, text string").repartition(3)
+    total, tree = suffixtree.nodes(suffixtree.count(df))
+    contexts = {(r.k, int(r.context).to_bytes(6, "big").lstrip(b"\0")): r.total for r in tree.collect()}
+    assert contexts[(1, b"q")] == 2 < 1e-5 * total
+    limit = lambda share: {r.doc_id: r.score for r in suffixtree.score(df, df, share=share).collect()}
+    whole, part = limit(0.0), limit(1e-2)
+    assert whole.keys() == part.keys() and all(math.isclose(whole[k], part[k], rel_tol=1e-5) for k in whole)
+    assert suffixtree.frequent_part(total, tree, share=1e-2).contexts[0].size < suffixtree.frequent_part(total, tree, share=0.0).contexts[0].size
+
+
 def test_counts_of_runs(spark):
     df = spark.createDataFrame([(1, "Ab a"), (2, None), (3, "ab")], "doc_id long, text string")
     got = Counter()

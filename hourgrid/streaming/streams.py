@@ -52,7 +52,8 @@ def continuous_ingest(
         rejected = feeds.rejected_rows(raw, spec)
         held = read_table(session, feeds.bronze_path(base, spec))
         if held is not None and not rows.isEmpty():
-            first, last = rows.agg(F.to_date(F.min(STAMP)), F.to_date(F.max(STAMP))).first()
+            # The hour that ends at midnight has files of two dates, so a day to either side.
+            first, last = rows.agg(F.date_sub(F.to_date(F.min(STAMP)), 1), F.date_add(F.to_date(F.max(STAMP)), 1)).first()
             held = feeds.dated(held, first, last)
         everything = jobs.Staged(rows, rejected, held)
         if not rows.isEmpty():

@@ -128,6 +128,24 @@ def test_continuous_ingest(spark, landing, tmp_path):
     assert sorted(r.MTLF for r in spark.read.parquet(f"{base}/mtlf").collect()) == [101.0, 111.0]
 
 
+def test_continuous_mean_across_midnight(spark, landing, tmp_path):
+    """The hour ending at 00:00 UTC has intervals stamped on two dates, whichever comes last."""
+    row = "{a},{g},PSCO_A,PA,{p},1,2,3\n"
+    head = PRICE5.splitlines()[0] + "\n"
+    files = {
+        "202304011855": row.format(a="04/01/2023 18:55:00", g="04/01/2023 23:55:00", p=20), "202304011900": row.format(a="04/01/2023 19:00:00", g="04/02/2023 00:00:00", p=50),
+    }
+    for order in (sorted(files), sorted(files, reverse=True)):
+        base, check = str(tmp_path / f"base{order[0]}"), str(tmp_path / f"check{order[0]}")
+        folder = str(tmp_path / f"landing{order[0]}")
+        os.mkdir(folder)
+        for stamp in order:
+            with open(f"{folder}/MKT-RTBM-LMP-SL-{stamp}.csv", "w") as sink:
+                sink.write(head + files[stamp])
+            streams.continuous_ingest(spark, "price_5min", folder, base, check, max_files=1, hourly_method="mean").awaitTermination()
+        assert [(r.GMTIntervalEnd_HE, r.LMP) for r in spark.read.parquet(f"{base}/lmp").collect()] == [(datetime(2023, 4, 2), 35.0)]
+
+
 def test_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     assert not tables.table_exists(spark, path)

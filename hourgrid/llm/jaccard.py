@@ -143,7 +143,9 @@ def _verify(n: int, bands: int, rows: int, over: int, under: int):
             digests.append(signed(np.stack(_digest(values, place), axis=1).ravel()).reshape(-1, 2))
             parts.append(values)
             sizes.append(np.diff(place))
-            hashes.append(band_hashes(values, place, bands, rows))
+            filled = np.zeros((len(sizes[-1]), bands), np.uint64)
+            filled[sizes[-1] > 0] = band_hashes(values, place, bands, rows)
+            hashes.append(filled)
         values, size, digest, hashes = (np.concatenate(x) for x in (parts, sizes, digests, hashes))
         # The id may stand on several rows: one row with the class's set stays.
         own = (digest[:, 0] == h1) & (digest[:, 1] == h2)

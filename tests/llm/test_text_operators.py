@@ -137,6 +137,16 @@ def test_jaccard_on_documents(documents):
     assert got == {r.doc_id: (rows[a].doc_id, n) for r, a, n in zip(rows, roots, links)}
 
 
+def test_jaccard_repeated_ids_without_words(spark):
+    """Rows without words that share the ids of near copies change no link."""
+    words = [f"w{k}" for k in range(100)]
+    texts = [" ".join([*words, f"x{k}"]) for k in range(8)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(k, x) for k in range(8) for x in (None, "", "!!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in jaccard.join(df).collect())
+    assert all(got[(k, 0, 7)] == 1 and got[(k, k, 0)] == 3 for k in range(1, 8)), got
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 90), (95, 100), (7, 7)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}

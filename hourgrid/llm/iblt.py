@@ -13,6 +13,11 @@ shared paragraphs over all paragraphs; two texts without a difference have 1. Th
 sketch (``SIZES``) holds some 2,400 differing paragraphs; a pair with more is compared on the digest
 arrays themselves, with the same result.
 
+Lines alone make strangers of versions of a text of one or two long lines. So a second fingerprint is of pieces: a line of
+more than ``LINE`` characters is cut after words chosen by their hash (one in ``EVERY``), a word of more than
+``WORD`` characters (also of a script without blanks) after characters chosen so. Cuts depend on the content at
+the cut alone, so they stay where they are if text elsewhere changes.
+
 Everything is DataFrame functions within the row of a document; the sketches are arrays of
 structs. Documents are shuffled once, where each is to meet the next one in order.
 
@@ -31,6 +36,7 @@ from hourgrid.llm.common import table
 CELLS = 48                      # of the fingerprint
 SIZES = (1, 4, 16, 64)          # times CELLS, tried one after the other
 ROUNDS = 60
+LINE, WORD, EVERY = 80, 40, 8
 SKETCH = "array<struct<p:int,c:int,x:bigint,h:bigint>>"
 
 
@@ -41,6 +47,21 @@ def paragraphs(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.split(text, "\n"), lambda p: F.xxhash64(p))))
 
 
+def _cut_after(units: Column) -> Column:
+    """The units joined, with a line end after each chosen one."""
+    chosen = lambda u: F.pmod(F.xxhash64(F.lit(5), u), F.lit(EVERY)) == 0
+    return F.array_join(F.transform(units, lambda u: F.when(chosen(u), F.concat(u, F.lit("\n"))).otherwise(u)), "")
+
+
+def pieces(text: Column) -> Column:
+    """Digests of the distinct lines, in order, long ones cut at places chosen by content."""
+    word = lambda w: F.when(F.length(w) > WORD, _cut_after(F.split(w, ""))).otherwise(w)
+    line = lambda p: F.when(
+        F.length(p) > LINE, _cut_after(F.transform(F.split(p, "(?<= )"), word))
+    ).otherwise(p)
+    return paragraphs(F.array_join(F.transform(F.split(text, "\n"), line), "\n"))
+
+
 def _check(x: Column) -> Column:
     return F.xxhash64(F.lit(77), x)
 
@@ -181,15 +202,17 @@ def compare_versions(documents: DataFrame, id_col: str = "doc_id", text_col: str
     digests = versions.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), paragraphs(F.col("text")).alias("a"),
         paragraphs(F.col("edited")).alias("e"), paragraphs(F.col("next")).alias("n"),
+        pieces(F.col("text")).alias("pa"), pieces(F.col("edited")).alias("pe"), pieces(F.col("next")).alias("pn"),
     )
-    sketches = digests.select("*", sketch(F.col("a")).alias("sa"), sketch(F.col("e")).alias("se"), sketch(F.col("n")).alias("sn"))
-    found = sketches.select(
-        "*", difference(F.col("a"), F.col("e"), F.col("sa"), F.col("se")).alias("de"), difference(F.col("a"), F.col("n"), F.col("sa"), F.col("sn")).alias("dn")
-    )
+    sketches = digests.select("*", *[sketch(F.col(c)).alias(f"s{c}") for c in ("a", "e", "n", "pa", "pe", "pn")])
+    pairs = (("a", "e", "de"), ("a", "n", "dn"), ("pa", "pe", "dpe"), ("pa", "pn", "dpn"))
+    found = sketches.select("*", *[difference(F.col(x), F.col(y), F.col(f"s{x}"), F.col(f"s{y}")).alias(d) for x, y, d in pairs])
     return found.select(
         "doc_id", "n_chars", "edited_sha256", rendered(F.col("sa")).alias("fingerprint"), rendered(F.col("se")).alias("edited_fingerprint"),
         likeness(F.col("a"), F.col("e"), F.col("de")).alias("near_edited"), likeness(F.col("a"), F.col("n"), F.col("dn")).alias("near_next"),
         F.col("de.cells").alias("cells_edited"), F.col("dn.cells").alias("cells_next"),
+        rendered(F.col("spa")).alias("piece_fingerprint"), rendered(F.col("spe")).alias("edited_piece_fingerprint"),
+        likeness(F.col("pa"), F.col("pe"), F.col("dpe")).alias("near_edited_pieces"), likeness(F.col("pa"), F.col("pn"), F.col("dpn")).alias("near_next_pieces"),
     )
 
 

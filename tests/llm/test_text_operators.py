@@ -193,6 +193,21 @@ def test_fingerprints_retry_and_fall_back(spark):
     assert cells[3] == 0 and cells[2] > iblt.CELLS
 
 
+def test_fingerprints_of_long_lines(spark):
+    """Half of a single long line is unchanged: with blanks, without them, and in one word."""
+    rng = np.random.default_rng(3)
+    texts = [
+        " ".join(f"w{x}" for x in rng.integers(0, 9999, 600)), "".join(chr(0x4E00 + x) for x in rng.integers(0, 2000, 900)), "".join(chr(97 + x) for x in rng.integers(0, 26, 3000)),
+        " ".join(f"v{x}" for x in rng.integers(0, 9999, 600)),
+    ]
+    rows = list(enumerate(texts))
+    got = iblt.compare_versions(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 4
+    for r in got:
+        assert r.near_edited == 0 and r.near_edited_pieces > 0.1 and r.near_next_pieces < 0.05
+        assert r.piece_fingerprint.count("-") > 20
+
+
 def test_fingerprints_are_native(documents):
     plan = iblt.compare_versions(documents)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

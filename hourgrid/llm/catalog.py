@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourgrid.llm import decontaminate, iblt, jaccard, linededup, packing, quality, rans, suffixtree, toxicity, warc
+from hourgrid.llm import decontaminate, exactdedup, iblt, jaccard, linededup, packing, quality, rans, suffixtree, toxicity, warc
 
 QUERIES = {
     "op1_warc_normalize": warc.query,
@@ -16,4 +16,8 @@ QUERIES = {
 }
 QUERIES["op10_toxicity_cnn"] = toxicity.query
 QUERIES["op7_ngram_jaccard"] = jaccard.query
-ORACLE_SQL = {"op1_warc_normalize": warc.SQL, "op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL}
+QUERIES["op12_exact_dedup"] = exactdedup.query
+ORACLE_SQL = {
+    "op1_warc_normalize": warc.SQL, "op8_decontamination": decontaminate.SQL, "op9_line_dedup": linededup.SQL,
+    "op12_exact_dedup": exactdedup.SQL,
+}

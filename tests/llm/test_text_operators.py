@@ -9,10 +9,10 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import LONG, ODD
+from conftest import ODD
 from pyspark.sql import functions as F
 
-from hourgrid.llm import components, decontaminate, iblt, jaccard, linededup
+from hourgrid.llm import components, decontaminate, jaccard, linededup
 
 ROWS = [(r[0], r[1]) for r in ODD]
 
@@ -152,62 +152,3 @@ def test_components(spark):
     got = {r.node: r.label for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 90: 90, 95: 90, 100: 90}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-# --- fingerprints -----------------------------------------------------------------------
-
-def versions(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
-    for k, (doc_id, text) in enumerate(order):
-        nxt = order[(k + 1) % len(order)][1]
-        half = len(text) // 2
-        yield doc_id, text, text[: len(text) - half] + nxt[:half], nxt
-
-
-def check_versions(df, rows):
-    got = Counter((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in iblt.compare_versions(df).collect())
-    near = lambda a, b: round(len(set(a.split("\n")) & set(b.split("\n"))) / len(set(a.split("\n")) | set(b.split("\n"))), 9)
-    want = Counter((i, len(t), hashlib.sha256(e.encode()).hexdigest(), near(t, e), near(t, n)) for i, t, e, n in versions(rows))
-    assert got == want
-
-
-def test_fingerprints_odd_rows(odd, empty):
-    check_versions(odd, [(i, t or "") for i, t in ROWS])
-    prints = {(r.doc_id, r.fingerprint) for r in iblt.compare_versions(odd).filter("doc_id IN (1, 7)").collect()}
-    assert len({p for _, p in prints}) == 1
-    assert iblt.compare_versions(empty).count() == 0
-    check_versions(odd.filter("doc_id = 5"), [(5, LONG)])
-
-
-def test_fingerprints_on_documents(documents):
-    check_versions(documents, [(r.doc_id, r.text or "") for r in documents.select("doc_id", "text").collect()])
-
-
-def test_fingerprints_retry_and_fall_back(spark):
-    """Many differing lines: larger sketches, and the direct comparison beyond the largest."""
-    text = lambda a, b: "\n".join(f"line {k}" for k in range(a, b))
-    rows = [(1, text(0, 300)), (2, text(5000, 5020)), (3, text(20_000, 26_000)), (4, text(0, 305))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    check_versions(df, rows)
-    cells = {r.doc_id: r.cells_next for r in iblt.compare_versions(df).collect()}
-    assert cells[3] == 0 and cells[2] > iblt.CELLS
-
-
-def test_fingerprints_of_long_lines(spark):
-    """Half of a single long line is unchanged: with blanks, without them, and in one word."""
-    rng = np.random.default_rng(3)
-    texts = [
-        " ".join(f"w{x}" for x in rng.integers(0, 9999, 600)), "".join(chr(0x4E00 + x) for x in rng.integers(0, 2000, 900)), "".join(chr(97 + x) for x in rng.integers(0, 26, 3000)),
-        " ".join(f"v{x}" for x in rng.integers(0, 9999, 600)),
-    ]
-    rows = list(enumerate(texts))
-    got = iblt.compare_versions(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert len(got) == 4
-    for r in got:
-        assert r.near_edited == 0 and r.near_edited_pieces > 0.1 and r.near_next_pieces < 0.05
-        assert r.piece_fingerprint.count("-") > 20
-
-
-def test_fingerprints_are_native(documents):
-    plan = iblt.compare_versions(documents)._jdf.queryExecution().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

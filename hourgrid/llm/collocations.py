@@ -292,26 +292,28 @@ def _order(key: np.ndarray) -> np.ndarray:
     return signed(key ^ np.uint64(1 << 63))
 
 
-def _count_phrases(depth: int, words_b, pairs_b, part_bits: int):
-    def chunks(run) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec(CODEC)
-        columns, counts = run
-        key = prefix_hash(columns)
-        order = np.argsort(key)
-        key, counts, columns = key[order], counts[order], [c[order] for c in columns]
-        part = (key >> np.uint64(64 - part_bits)).astype(np.int64)
-        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
-        edges = np.concatenate([[0], cuts, [len(key)]])
-        bounds = [(k, min(k + CHUNK, b)) for a, b in zip(edges.tolist(), edges[1:].tolist()) for k in range(a, b, CHUNK)]
-        for at in range(0, len(bounds), 512):
-            some = bounds[at: at + 512]
-            packed = [codec.compress(b"".join([*[c[a:b].tobytes() for c in columns], counts[a:b].tobytes()]), asbytes=True) for a, b in some]
-            first = [a for a, _ in some]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[first].astype(np.int32)), pa.array(_order(key[first])), pa.array([b - a for a, b in some], pa.int32()), pa.array(packed, pa.binary())],
-                names=["part", "low", "size", "chunk"],
-            )
+def chunks(run: tuple[list[np.ndarray], np.ndarray], part_bits: int) -> Iterator[pa.RecordBatch]:
+    """A sorted run cut by prefix partition, packed: rows of ``RUNS``."""
+    codec = pa.Codec(CODEC)
+    columns, counts = run
+    key = prefix_hash(columns)
+    order = np.argsort(key)
+    key, counts, columns = key[order], counts[order], [c[order] for c in columns]
+    part = (key >> np.uint64(64 - part_bits)).astype(np.int64)
+    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+    edges = np.concatenate([[0], cuts, [len(key)]])
+    bounds = [(k, min(k + CHUNK, b)) for a, b in zip(edges.tolist(), edges[1:].tolist()) for k in range(a, b, CHUNK)]
+    for at in range(0, len(bounds), 512):
+        some = bounds[at: at + 512]
+        packed = [codec.compress(b"".join([*[c[a:b].tobytes() for c in columns], counts[a:b].tobytes()]), asbytes=True) for a, b in some]
+        first = [a for a, _ in some]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[first].astype(np.int32)), pa.array(_order(key[first])), pa.array([b - a for a, b in some], pa.int32()), pa.array(packed, pa.binary())],
+            names=["part", "low", "size", "chunk"],
+        )
 
+
+def _count_phrases(depth: int, words_b, pairs_b, part_bits: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = HatTrie(depth)
         words, pairs = words_b.value, pairs_b.value if pairs_b is not None else None
@@ -325,14 +327,15 @@ def _count_phrases(depth: int, words_b, pairs_b, part_bits: int):
                     good = good[1:] & good[:-1]
                 at = np.flatnonzero(good)
                 for spilled in trie.add([ids[at + k] for k in range(depth)]):
-                    yield from chunks(spilled)
+                    yield from chunks(spilled, part_bits)
         for rest in trie.rest():
-            yield from chunks(rest)
+            yield from chunks(rest, part_bits)
 
     return run
 
 
-def _merge(depth: int, least: int):
+def merge(depth: int, least: int, words: int = WORDS):
+    """Sums of sorted chunks: (key, w1, ..., n) with ``words`` columns of words."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec(CODEC)
         held: list[tuple[list[np.ndarray], np.ndarray]] = []
@@ -345,9 +348,9 @@ def _merge(depth: int, least: int):
             chosen = counts >= least
             columns = [c[chosen] for c in columns]
             blank = np.zeros(int(chosen.sum()), np.int64)
-            filled = [signed(c) for c in columns] + [blank] * (WORDS - depth)
+            filled = [signed(c) for c in columns] + [blank] * (words - depth)
             return pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (signed(prefix_hash(columns)), *filled, counts[chosen])], names=[c.split()[0] for c in COUNTS.split(", ")]
+                [pa.array(x) for x in (signed(prefix_hash(columns)), *filled, counts[chosen])], names=["key", *[f"w{k + 1}" for k in range(words)], "n"]
             )
 
         for batch in rows:
@@ -369,13 +372,18 @@ def _merge(depth: int, least: int):
     return run
 
 
+def parts(spark: SparkSession) -> int:
+    """Bits of the prefix partition: four to eight partitions for each of a shuffle."""
+    return max(4, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+
+
 def phrase_counts(given: DataFrame, depth: int, words: np.ndarray, pairs: np.ndarray | None, least: int) -> DataFrame:
     """(key, w1, w2, w3, n) of the phrases of ``depth`` words that reach ``least``; a written table."""
     spark = given.sparkSession
     share = spark.sparkContext.broadcast
-    part_bits = max(4, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    part_bits = parts(spark)
     stored = given.mapInArrow(_count_phrases(depth, share(words), share(pairs) if pairs is not None else None, part_bits), RUNS)
-    merged = stored.repartition("part").sortWithinPartitions("low").mapInArrow(_merge(depth, least), COUNTS)
+    merged = stored.repartition("part").sortWithinPartitions("low").mapInArrow(merge(depth, least), COUNTS)
     return materialize(merged, f"phrases{depth}")
 
 

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ from hourgrid.llm.common import LOWER, SPACE, batches, free_names, signed, slabs
 from hourgrid.session import materialize
 
 LEAST = 10
+SLICE = 256             # rows of a batch that are rewritten together
 NO_ID = (1 << 63) - 1
 ROW = "h1 long, h2 long, doc long, part long, final boolean, positions binary"
 TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
@@ -205,13 +207,19 @@ def drop_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ch
 
     @F.arrow_udf("string")
     def keep(text: pa.Array, gone: pa.Array) -> pa.Array:
-        out = []
-        for t, p in zip(text.to_pylist(), gone.to_pylist()):
-            if p:
-                lines_of = t.split("\n")
-                t = "\n".join([line for line, k in zip(lines_of, _bitmap(len(lines_of), p).tolist()) if k])
-            out.append(t)
-        return pa.array(out, pa.string())
+        # Only texts that lose lines become Python objects, a slice of the batch at a time.
+        parts = []
+        for at in range(0, len(text), SLICE):
+            some, lists = text.slice(at, SLICE), gone.slice(at, SLICE)
+            changed = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
+            out = []
+            for k in changed.tolist():
+                lines_of = (some[k].as_py() or "").split("\n")
+                out.append("\n".join([line for line, kept in zip(lines_of, _bitmap(len(lines_of), lists[k].as_py()).tolist()) if kept]))
+            mask = np.zeros(len(some), bool)
+            mask[changed] = True
+            parts.append(pc.replace_with_mask(some, pa.array(mask), pa.array(out, some.type)))
+        return pa.chunked_array(parts, text.type).combine_chunks() if parts else text
 
     both = df.join(gone, key, "left").withColumn(text_col, keep(F.col(text_col), F.col(positions)))
     if chars_col:

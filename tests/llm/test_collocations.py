@@ -122,7 +122,7 @@ def test_small_chunks(spark, monkeypatch, held):
     for depth in (2, 3):
         chunks = [c for k in range(0, len(rows), 100) for c in co._count_phrases(depth, Held(full), Held(full), 4)(iter([batch.slice(k, 100)]))]
         table = pa.Table.from_batches(chunks).sort_by("low")
-        merged = pa.Table.from_batches(list(co._merge(depth, 1)(iter(table.to_batches(7)))))
+        merged = pa.Table.from_batches(list(co.merge(depth, 1)(iter(table.to_batches(7)))))
         keys = list(zip(*[merged.column(f"w{k + 1}").to_pylist() for k in range(3)]))
         assert len(set(keys)) == len(keys)
         want: Counter = Counter()

@@ -14,7 +14,7 @@ from conftest import ODD, SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourgrid.llm import quality, suffixtree, toxicity
+from hourgrid.llm import quality, toxicity
 from hourgrid.llm.common import crc_mod
 from hourgrid.llm.training import platt
 
@@ -102,81 +102,6 @@ def test_language_thresholds(spark):
     assert [r.flagged for r in toxicity.flag(df, "lang", model).orderBy("doc_id").collect()] == [False, True, True]
 
 
-# --- suffix tree ----------------------------------------------------------------------
-
-def tokens_of(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(brute.UPPER)) + ["\n"]
-
-
-def test_base_scores(odd, empty):
-    scored = suffixtree.score(odd, odd.filter("doc_id <> 5 OR doc_id IS NULL"), frequent=1e-2).collect()
-    train = Counter(w for i, t in ROWS if i != 5 for w in tokens_of(t))
-    n, v = sum(train.values()), len(train)
-    want = Counter()
-    for i, t in ROWS:
-        w = tokens_of(t)
-        want[(i, len(w), sum(x in train for x in w), n, round(sum(math.log10((train[x] + 1) / (n + v + 1)) for x in w), 4))] += 1
-    assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in scored) == want
-    assert all(r.score < 0 for r in scored)
-    assert suffixtree.score(empty, odd).count() == 0
-    assert {r.base_score for r in suffixtree.score(odd, empty).collect()} == {0.0}
-
-
-def test_tree_is_a_distribution(spark, documents):
-    """Probabilities of all next bytes sum to one; contexts obey the tests; suffixes are kept."""
-    tree = suffixtree.grow(suffixtree.count(documents), share=1e-4, diverge=5.0)
-    sizes = [len(c) for c in tree.contexts]
-    assert sizes[0] > 5 and sum(sizes) <= suffixtree.DEPTH / 1e-4
-    for k in range(1, len(sizes)):
-        assert np.isin(tree.contexts[k] & np.uint64((1 << (8 * k)) - 1), tree.contexts[k - 1]).all()
-    for context in (0x0A0A0A0A0A0A, 0x207468652074, 0x6120746865):
-        p = 10 ** tree.log10((np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64))
-        assert 0.99 < p.sum() <= 1 + 1e-9
-
-
-def test_tree_grows_with_the_corpus(spark, monkeypatch):
-    """Contexts of one language are kept however much text of others there is, and scores do not depend on what is broadcast."""
-    monkeypatch.setattr(suffixtree, "BLOCK", 2000)
-    rare = [(0, "qzxv qzxv"), *[(k, "jwkp bbbn jwkp bbbn " * 3) for k in range(1, 20)]]
-    other = [(100 + k, " ".join(f"{w} plain words {w}" for w in ("alpha", "beta", "gamma"))) for k in range(3000)]
-    df = spark.createDataFrame(rare + other, "doc_id long, text string").repartition(3)
-    total, tree = suffixtree.nodes(suffixtree.count(df))
-    contexts = {(r.k, int(r.context).to_bytes(6, "big").lstrip(b"\0")): r.total for r in tree.collect()}
-    assert contexts[(1, b"q")] == 2 < 1e-5 * total
-    limit = lambda share: {r.doc_id: r.score for r in suffixtree.score(df, df, share=share).collect()}
-    whole, part = limit(0.0), limit(1e-2)
-    assert whole.keys() == part.keys() and all(math.isclose(whole[k], part[k], rel_tol=1e-5) for k in whole)
-    assert suffixtree.frequent_part(total, tree, share=1e-2).contexts[0].size < suffixtree.frequent_part(total, tree, share=0.0).contexts[0].size
-
-
-def test_counts_of_runs(spark):
-    df = spark.createDataFrame([(1, "Ab a"), (2, None), (3, "ab")], "doc_id long, text string")
-    got = Counter()
-    for r in suffixtree.count(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).filter("kind = 1").collect():
-        got[int(r.key).to_bytes(7, "big")] += r.n
-    want = Counter()
-    for body in (b"ab a \n", b"\n", b"ab \n"):
-        padded = b"\n" * 6 + body
-        want.update(padded[k: k + 7] for k in range(len(body)))
-    assert got == want
-
-
-def test_scorer_table_agrees(documents):
-    tree = suffixtree.grow(suffixtree.count(documents))
-    scorer = suffixtree.Scorer(tree)
-    scorer.code, scorer.value = scorer.code[: 1 << 4], scorer.value[: 1 << 4]
-    scorer.BITS = 4             # nearly every place is contended
-    codes = np.random.default_rng(0).integers(0, 1 << 56, 500, dtype=np.uint64)
-    for _ in range(3):
-        assert np.allclose(scorer(codes), tree.log10(codes))
-
-
-def test_model_beats_base_on_held_out(spark):
-    rows = suffixtree.query(spark, MEDIUM).filter("held_out").collect()
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
-    assert np.mean([r.score > r.base_score for r in rows]) > 0.8
-
-
 # --- pipeline -------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):

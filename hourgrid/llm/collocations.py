@@ -12,7 +12,7 @@ nothing is lost.
 2. Chunks are dealt by prefix partition and sorted by their lowest key; a task streams them and gives a count on as soon as no
    later chunk can hold its key. A very common first word is spread over partitions by the second; a common
    pair is one entry a run.
-3. Which words and pairs reach ``LEAST`` goes to the next pass as a bit map of ``FILTER_BITS`` bits (16 MiB at any
+3. Which words and pairs reach ``LEAST`` goes to the next pass as a bit map of at most ``FILTER_BITS`` bits (16 MiB at any
    size of the corpus, so it may be broadcast). A wrongly set bit costs some counting, never a result.
 4. Counts of parts are joined to the candidates on ids; products are decimals of 38 digits, exact for counts up to
    10**15. The best of each language are ranked in two steps, first within ``SALTS`` shares of its phrases.
@@ -270,15 +270,16 @@ def word_counts(given: DataFrame) -> DataFrame:
     return materialize(found.groupBy("lang", "word").agg(F.first("id").alias("id"), F.sum("n").alias("n")), "words")
 
 
-def bit_map(frequent: DataFrame, key: Column, bits: int = FILTER_BITS) -> np.ndarray:
-    """The keys as a bit map of ``bits / 8`` bytes, whatever their number."""
+def bit_map(frequent: DataFrame, key: Column, most: int = FILTER_BITS) -> np.ndarray:
+    """The keys as a bit map of eight bits a key or more, and of ``most`` bits at most, whatever their number."""
+    bits = min(most, 1 << max(15, (8 * frequent.count() - 1).bit_length()))
     place = key.bitwiseAND(F.lit(bits - 1)) + 1
     rows = frequent.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    out = np.zeros(max(bits // 8, 4096), np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     for r in rows.toArrow().to_pylist():
         at = (r["bucket"] - 1) * 4096
         out[at: at + 4096] = np.frombuffer(r["bits"], np.uint8)
-    return out[: bits // 8]
+    return out
 
 
 # --- phrases ------------------------------------------------------------------------
@@ -382,9 +383,14 @@ def phrase_counts(given: DataFrame, depth: int, words: np.ndarray, pairs: np.nda
     spark = given.sparkSession
     share = spark.sparkContext.broadcast
     part_bits = parts(spark)
-    stored = given.mapInArrow(_count_phrases(depth, share(words), share(pairs) if pairs is not None else None, part_bits), RUNS)
+    sent = [share(words), share(pairs) if pairs is not None else None]
+    stored = given.mapInArrow(_count_phrases(depth, *sent, part_bits), RUNS)
     merged = stored.repartition("part").sortWithinPartitions("low").mapInArrow(merge(depth, least), COUNTS)
-    return materialize(merged, f"phrases{depth}")
+    written = materialize(merged, f"phrases{depth}")
+    for b in sent:
+        if b is not None:
+            b.destroy()
+    return written
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:

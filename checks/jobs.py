@@ -134,6 +134,63 @@ def _(spark, sf):
     return stored.groupBy(F.regexp_extract("url", r"-(\d{8})0000\.csv$", 1).alias("day"), "reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+REJECTS = f"""WITH {HOURLY}, f AS (SELECT he, CAST(he AS DATE) AS day FROM l UNION ALL SELECT he, CAST(he AS DATE) + 1 FROM l WHERE again),
+k AS (SELECT strftime(CAST(day AS TIMESTAMP), '%Y%m%d') AS day, CASE WHEN day(day) % 5 = 0 THEN 'time' WHEN hour(he) = 3 THEN 'number' END AS reason FROM f)
+SELECT day, reason, count(*) AS n_rows FROM k WHERE reason IS NOT NULL GROUP BY day, reason"""
+
+
+def spoilt_lines(spark, sf) -> DataFrame:
+    """Load lines; every fifth file has no good line at all, the others a bad number each."""
+    lines = load_lines(spark, sf)
+    hour = F.hour(F.col("he").cast("timestamp_ntz"))
+    bad = F.when(F.dayofmonth("day") % 5 == 0, F.concat(F.lit("not a time"), "line")).when(
+        hour == 3, F.regexp_replace("line", r",[^,]*,([^,]*)$", ",12x,$1")).otherwise(F.col("line"))
+    return lines.withColumn("line", bad)
+
+
+def rejects(stored: DataFrame) -> DataFrame:
+    return stored.groupBy(F.regexp_extract("url", r"-(\d{8})0000\.csv$", 1).alias("day"), "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("rejected_repeat", REJECTS)
+def _(spark, sf):
+    """Three runs over the same files, also such as have no good line: rejected rows are stored once."""
+    lines, base = spoilt_lines(spark, sf), scratch_path(spark, "repeat")
+    land(spark, lines, LOAD_HEADER, f"{base}/landing")
+    first, last = lines.agg(F.min("day"), F.max("day")).first()
+    for _ in range(3):
+        collect_load(spark, f"{base}/landing", base, first, last)
+    return rejects(spark.read.parquet(f"{base}/rejected/mtlf"))
+
+
+@query("stream_replay", REJECTS)
+def _(spark, sf):
+    """The files as a stream, and all of them again under a new checkpoint: rejected rows are stored once."""
+    lines, base = spoilt_lines(spark, sf), scratch_path(spark, "replay")
+    land(spark, lines, LOAD_HEADER, f"{base}/landing")
+    for k in range(2):
+        streams.continuous_ingest(spark, "load_forecast", f"{base}/landing", base, f"{base}/checkpoint{k}", max_files=16).awaitTermination()
+    return rejects(spark.read.parquet(f"{base}/rejected/mtlf"))
+
+
+@query("quarantine_job", f"""WITH {HOURLY}, q AS (SELECT he, n, v - CASE WHEN again THEN {SHIFT} ELSE 0 END AS v,
+    day(CAST(he AS DATE)) % 5 <> 0 AS own, again AND day(CAST(he AS DATE) + 1) % 5 <> 0 AS next FROM l),
+b AS (SELECT count(*) AS n_set_aside FROM d WHERE day(CAST(day AS DATE)) % 5 = 0)
+SELECT he AS GMTIntervalEnd, {MTLF.format(f'v + CASE WHEN next THEN {SHIFT} ELSE 0 END')}, n_set_aside FROM q, b WHERE own OR next""")
+def _(spark, sf):
+    """Every fifth file has other columns: it is set aside, once, and the others are collected."""
+    lines, base = load_lines(spark, sf), scratch_path(spark, "quarantine")
+    bad = F.dayofmonth("day") % 5 == 0
+    land(spark, lines.where(bad), "Interval,GMTIntervalEnd,Averaged Actual,MTLF", f"{base}/landing")
+    land(spark, lines.where(~bad), LOAD_HEADER, f"{base}/landing")
+    first, last = lines.agg(F.min("day"), F.max("day")).first()
+    collect_load(spark, f"{base}/landing", base, first, last)
+    if not collect_load(spark, f"{base}/landing", base, first, last)["verdicts"].isEmpty():
+        raise ValueError("a repeated run judged a file again")
+    aside = spark.read.parquet(f"{base}/verdicts/mtlf").where("verdict = 'header'").agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return loads(spark.read.parquet(f"{base}/mtlf")).withColumn("n_set_aside", aside)
+
+
 @query("hourly_mean_incremental", f"WITH {IV} SELECT he AS GMTIntervalEnd_HE, event_type AS node, true AS close FROM iv GROUP BY ALL")
 def _(spark, sf):
     """Intervals of an hour spread over two files that come in different runs: means over all of them.

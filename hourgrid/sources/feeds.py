@@ -48,12 +48,21 @@ def is_header(feed: Feed):
     return F.coalesce(_named(feed)[0][0].isin(list(feed.header)), F.lit(False))
 
 
-def check_headers(lines: DataFrame, feed: Feed) -> None:
-    """Raise if a file has no header line with the feed's columns in their order."""
+def header_faults(lines: DataFrame, feed: Feed) -> DataFrame:
+    """Files, by version, without a header line that has the feed's columns in their order, and one of their lines."""
     fits = is_header(feed) & F.col("_corrupt_record").isNull()
     for text, name in _named(feed):
         fits = fits & F.coalesce(text == name, F.lit(False))
-    bad = lines.groupBy(SOURCE).agg(F.max(fits).alias("fits")).where(~F.col("fits")).select(SOURCE).limit(5).collect()
+    line = F.coalesce("_corrupt_record", F.concat_ws(",", *feed.header))
+    found = lines.groupBy(SOURCE, MODIFIED).agg(
+        F.max(fits).alias("fits"), F.coalesce(F.max(F.when(is_header(feed), line)), F.min(line)).alias("line")
+    )
+    return found.where(~F.col("fits")).select(SOURCE, MODIFIED, "line")
+
+
+def check_headers(lines: DataFrame, feed: Feed) -> None:
+    """Raise if a file has no header line with the feed's columns in their order."""
+    bad = header_faults(lines, feed).select(SOURCE).limit(5).collect()
     if bad:
         raise ValueError(f"columns of {feed.name} are not {list(feed.header)} in {[r[0] for r in bad]}")
 
@@ -230,6 +239,50 @@ def only_new_files(raw: DataFrame, bronze: DataFrame) -> DataFrame:
     return missing(raw, bronze.select(*on).distinct(), on=on)
 
 
+# --- verdicts on files -----------------------------------------------------------
+
+VERDICTS = "verdicts"
+REJECTED = "rejected"
+
+
+def log_path(base: str, log: str, feed: str | Feed) -> str:
+    return f"{base.rstrip('/')}/{log}/{get_feed(feed).category}"
+
+
+def split_files(lines: DataFrame, feed: str | Feed) -> tuple[DataFrame, DataFrame]:
+    """(rows of files with a fitting header, the set-aside files as rejected rows with reason ``header``)."""
+    feed = get_feed(feed)
+    faults = header_faults(lines, feed)
+    rows = lines.where(~is_header(feed)).join(faults.select(SOURCE, MODIFIED), [SOURCE, MODIFIED], "left_anti")
+    texts = [F.lit(None).cast("string").alias(f"{n}_text") for n in (*feed.times, *feed.measures)]
+    return rows, faults.select(SOURCE, MODIFIED, F.lit("header").alias("reason"), F.col("line").alias("_corrupt_record"), *texts)
+
+
+def verdicts(lines: DataFrame, rows: DataFrame, rejected: DataFrame, feed: str | Feed, stamp_hour: int = 0) -> DataFrame:
+    """One row a file version: what became of it, and how many stored and rejected rows it has.
+
+    ``rows``: it has rows that are stored; ``header``: its header does not fit; ``no rows``: nothing of it could be stored.
+    """
+    on = [SOURCE, MODIFIED]
+    stored = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = rejected.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rejected"), F.max(F.col("reason") == "header").alias("_header"))
+    out = lines.select(*on).distinct().join(stored, on, "left").join(bad, on, "left")
+    verdict = F.when(F.col("_header"), "header").when(F.col("n_rows") > 0, "rows").otherwise("no rows")
+    return out.select(
+        *on, verdict.alias("verdict"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_rows", "n_rejected")],
+        F.to_date(file_stamp(SOURCE, get_feed(feed), stamp_hour)).alias("file_date"),
+    )
+
+
+def append_once(df: DataFrame, path: str, held: DataFrame | None) -> None:
+    """Append rows of file versions that the log does not have yet, by the date of the file's stamp.
+
+    The append is committed as a whole, so a run that is repeated adds nothing.
+    """
+    fresh = df if held is None else missing(df, held.select(SOURCE, MODIFIED).distinct(), on=[SOURCE, MODIFIED])
+    fresh.write.mode("append").partitionBy("file_date").parquet(path)
+
+
 def file_report(manifest: DataFrame, processed: DataFrame) -> DataFrame:
     """Manifest rows with a flag telling whether the file has landed with valid rows."""
     names = processed.select(file_name(SOURCE).alias("file")).distinct().withColumn("landed", F.lit(True))

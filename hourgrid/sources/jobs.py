@@ -20,49 +20,74 @@ BACKFILL_PERIODS = {"load_forecast": 17520, "renewable_forecast": 17520, "price_
 
 @dataclass
 class Staged:
-    """New rows of landed files, those set aside, and what bronze holds of the same dates."""
+    """New rows of landed files, those set aside, a verdict on each file, and what bronze and the logs hold of the same dates."""
 
     rows: DataFrame
     rejected: DataFrame
+    verdicts: DataFrame
     held: DataFrame | None
+    logs: dict[str, DataFrame | None]
+
+
+def read_logs(spark: SparkSession, base: str, feed: str) -> dict[str, DataFrame | None]:
+    return {log: tables.read_table(spark, feeds.log_path(base, log, feed)) for log in (feeds.REJECTED, feeds.VERDICTS)}
+
+
+def judged(lines: DataFrame, feed: str, stamp_hour: int, held: DataFrame | None, logs: dict[str, DataFrame | None]) -> Staged:
+    """Rows, rejected rows and verdicts of new lines; a file whose header does not fit is set aside, the others go on."""
+    raw, faults = feeds.split_files(lines, feed)
+    rows = materialize(feeds.process_feed(raw, feed, stamp_hour, with_counts=True), "ingest")
+    rejected = feeds.rejected_rows(raw, feed).unionByName(faults)
+    stamp = F.to_date(manifest.file_stamp(F.col(SOURCE), feeds.get_feed(feed), stamp_hour))
+    rejected = materialize(rejected.withColumn("file_date", stamp), "rejected")
+    return Staged(rows, rejected, materialize(feeds.verdicts(lines, rows, rejected, feed, stamp_hour), "verdicts"), held, logs)
 
 
 def stage(
     spark: SparkSession, feed: str, landing: str, base: str, requested: DataFrame | None = None, stamp_hour: int = 0,
 ) -> Staged:
-    """Read landed files whose version bronze does not hold yet.
+    """Read landed files whose version neither bronze nor the verdicts hold yet.
 
-    With a ``requested`` manifest only its files are opened, and only bronze of the dates of their stamps is read, so
+    With a ``requested`` manifest only its files are opened, and only bronze and logs of the dates of their stamps are read, so
     a run costs what its manifest costs. A file that was written again since is taken again.
     """
     spec = feeds.get_feed(feed)
     held = tables.read_table(spark, feeds.bronze_path(base, feed))
+    logs = read_logs(spark, base, feed)
     names = None
     if requested is not None:
         wanted = requested.select(manifest.file_name(SOURCE).alias("file")).distinct()
         names = [r.file for r in wanted.collect()]
-        if held is not None:
-            day = F.to_date(manifest.file_stamp(F.col("file"), spec, stamp_hour))
-            # Stamps of daily files move with the hour of the run, so a day to either side.
-            first, last = wanted.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).first()
-            held = feeds.dated(held, first, last)
-    raw = feeds.read_landed(spark, feed, landing, feeds.name_glob(names, spec) if names else None)
+        day = F.to_date(manifest.file_stamp(F.col("file"), spec, stamp_hour))
+        # Stamps of daily files move with the hour of the run, so a day to either side.
+        first, last = wanted.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).first()
+        held, logs = _dated(held, first, last), {log: _dated(df, first, last) for log, df in logs.items()}
+    lines = feeds.csv_lines(spark.read, spec, landing, feeds.name_glob(names, spec) if names else None)
     if requested is not None:
-        raw = manifest.landed(raw.withColumn("file", manifest.file_name(SOURCE)), wanted, on="file").drop("file")
+        lines = manifest.landed(lines.withColumn("file", manifest.file_name(SOURCE)), wanted, on="file").drop("file")
     if held is not None:
-        raw = feeds.only_new_files(raw, held)
-    raw = materialize(raw, "landed")
-    return Staged(
-        materialize(feeds.process_feed(raw, feed, stamp_hour, with_counts=True), "ingest"), materialize(feeds.rejected_rows(raw, feed), "rejected"), held
-    )
+        lines = feeds.only_new_files(lines, held)
+    if logs[feeds.VERDICTS] is not None:
+        lines = feeds.only_new_files(lines, logs[feeds.VERDICTS])
+    return judged(materialize(lines, "landed"), feed, stamp_hour, held, logs)
+
+
+def _dated(df: DataFrame | None, first, last) -> DataFrame | None:
+    return None if df is None else feeds.dated(df, first, last)
 
 
 def store(staged: Staged, base: str, feed: str) -> None:
-    """Append staged rows to bronze and set-aside rows to the folder beside it."""
+    """Rejected rows, then bronze, then verdicts: a run that dies between is repeated and adds only what is lacking.
+
+    A file with stored rows is not taken again once bronze has it; its rejected rows are there before. One without
+    is not taken again once its verdict is there.
+    """
+    if not staged.rejected.isEmpty():
+        feeds.append_once(staged.rejected, feeds.log_path(base, feeds.REJECTED, feed), staged.logs[feeds.REJECTED])
     if not staged.rows.isEmpty():
         feeds.write_bronze(staged.rows, base, feed)
-    if not staged.rejected.isEmpty():
-        staged.rejected.write.mode("append").parquet(f"{base.rstrip('/')}/rejected/{feeds.get_feed(feed).category}")
+    if not staged.verdicts.isEmpty():
+        feeds.append_once(staged.verdicts, feeds.log_path(base, feeds.VERDICTS, feed), staged.logs[feeds.VERDICTS])
 
 
 def batch_for_table(staged: Staged, hourly_method: str = "per_file") -> DataFrame:
@@ -104,7 +129,7 @@ def collect(
     stamp_hour: int = 0,
     hourly_method: str = "per_file",
 ) -> dict[str, DataFrame | None]:
-    """One scheduled run of a feed: manifest, new files, upsert, what is missing and what was set aside.
+    """One scheduled run of a feed: manifest, new files, upsert, what is missing, what was set aside, and the files' verdicts.
 
     A backfill is the same run with ``BACKFILL_PERIODS``. The table is merged before bronze is
     appended: a run that dies between takes the same files again and changes nothing.
@@ -121,7 +146,7 @@ def collect(
     if staged.held is not None:
         seen = seen.unionByName(staged.held.select(SOURCE))
     absent = feeds.file_report(requested, seen)
-    return {"stats": stats, "missing": absent.where(~F.col("landed")), "rejected": staged.rejected}
+    return {"stats": stats, "missing": absent.where(~F.col("landed")), "rejected": staged.rejected.drop("file_date"), "verdicts": staged.verdicts}
 
 
 def scheduled_runs(now: datetime, backfill: bool = False) -> list[tuple[str, str, int, int]]:

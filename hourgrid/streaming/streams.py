@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hourgrid.functions.measures import mean_of
 from hourgrid.operators.upsert import upsert_table
-from hourgrid.schemas import STAMP
+from hourgrid.schemas import SOURCE
 from hourgrid.session import materialize
 from hourgrid.sources import feeds, jobs
+from hourgrid.sources.manifest import file_stamp
 from hourgrid.sources.tables import read_table
 
 
@@ -38,28 +40,27 @@ def continuous_ingest(
     """Merge each micro-batch of landed files into the feed's table and append it to bronze.
 
     The merge keeps the latest vintage per key, and bronze takes only file versions that it does not
-    hold, so replaying a batch after a failure changes nothing and a rebuild from bronze has all streamed
-    rows. Without an interval, all waiting files are taken and the query ends.
+    hold, the logs of rejected rows and verdicts too; so replaying a batch after a failure changes nothing and a rebuild from
+    bronze has all streamed rows. A file whose header does not fit is set aside and does not stop the stream. Without an interval, all waiting files are taken and the query ends.
     """
     spec = feeds.get_feed(feed)
 
     def merge(batch: DataFrame, _epoch: int) -> None:
         session = batch.sparkSession
         lines = materialize(batch, "lines")
-        feeds.check_headers(lines, spec)
-        raw = lines.where(~feeds.is_header(spec))
-        rows = materialize(feeds.process_feed(raw, spec, stamp_hour, with_counts=True), "rows")
-        rejected = feeds.rejected_rows(raw, spec)
-        held = read_table(session, feeds.bronze_path(base, spec))
-        if held is not None and not rows.isEmpty():
+        held, logs = read_table(session, feeds.bronze_path(base, spec)), jobs.read_logs(session, base, spec)
+        if not lines.isEmpty():
             # The hour that ends at midnight has files of two dates, so a day to either side.
-            first, last = rows.agg(F.date_sub(F.to_date(F.min(STAMP)), 1), F.date_add(F.to_date(F.max(STAMP)), 1)).first()
-            held = feeds.dated(held, first, last)
-        everything = jobs.Staged(rows, rejected, held)
+            day = F.to_date(file_stamp(F.col(SOURCE), spec, stamp_hour))
+            first, last = lines.agg(F.date_sub(F.min(day), 1), F.date_add(F.max(day), 1)).first()
+            dated = lambda df: None if df is None else feeds.dated(df, first, last)
+            held, logs = dated(held), {log: dated(df) for log, df in logs.items()}
+        everything = jobs.judged(lines, spec, stamp_hour, held, logs)
+        rows = everything.rows
         if not rows.isEmpty():
             upsert_table(session, jobs.batch_for_table(everything, hourly_method), spec.target, base)
         fresh = rows if held is None else feeds.only_new_files(rows, held)
-        jobs.store(jobs.Staged(materialize(fresh, "fresh"), rejected, held), base, feed)
+        jobs.store(replace(everything, rows=materialize(fresh, "fresh")), base, spec)
 
     writer = landed_stream(spark, feed, landing, max_files).writeStream.foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -227,6 +227,70 @@ def test_headers_are_compared_by_name(spark, landing):
         feeds.read_landed(spark, "renewable_forecast", folder)
 
 
+SWAPPED = "Interval,GMTIntervalEnd,Averaged Actual,MTLF\n04/01/2023 07:00:00,04/01/2023 13:00:00,1,2\n"
+
+
+def run_load(spark, folder, base):
+    return jobs.collect(spark, "load_forecast", folder, base, "2023-04-01 08:00:00", 2)
+
+
+def test_a_file_without_a_good_row_is_read_once(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    folder = landing("MKT-OP-MTLF-202304010700.csv", LOAD.split("\n", 1)[0] + "\nnot a time,x,3,4\n")
+    assert [run_load(spark, folder, base)["verdicts"].count() for _ in range(3)] == [1, 0, 0]
+    assert spark.read.parquet(f"{base}/rejected/mtlf").count() == 1
+    assert [(r.verdict, r.n_rows, r.n_rejected) for r in spark.read.parquet(f"{base}/verdicts/mtlf").collect()] == [("no rows", 0, 1)]
+
+
+def test_a_bad_header_stops_nobody(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    landing("MKT-OP-MTLF-202304010800.csv", SWAPPED)
+    folder = landing("MKT-OP-MTLF-202304010700.csv", LOAD.format(a=1, b=2))
+    out = run_load(spark, folder, base)
+    assert [(r.reason, r.url[-16:]) for r in out["rejected"].collect()] == [("header", "202304010800.csv")]
+    assert [r.file[-16:] for r in out["missing"].collect()] == ["202304010800.csv"]
+    assert sorted(r.MTLF for r in spark.read.parquet(f"{base}/mtlf").collect()) == [1.0, 2.0]
+    assert run_load(spark, folder, base)["verdicts"].isEmpty()
+    # Delivered again with the right columns it is a new version, and taken.
+    landing("MKT-OP-MTLF-202304010800.csv", LOAD.format(a=5, b=6))
+    put_time(f"{folder}/MKT-OP-MTLF-202304010800.csv", 1_800_000_000)
+    assert run_load(spark, folder, base)["missing"].isEmpty()
+    assert sorted(r.MTLF for r in spark.read.parquet(f"{base}/mtlf").collect()) == [5.0, 6.0]
+
+
+@pytest.mark.parametrize("died", ["after rejected", "after bronze"])
+def test_a_run_that_died_is_repeated_without_doubles(spark, landing, tmp_path, monkeypatch, died):
+    base = str(tmp_path / "base")
+    folder = landing("MKT-OP-MTLF-202304010700.csv", LOAD.format(a="12x", b=2) + "not a time,04/01/2023 15:00:00,3,4\n")
+    name = "write_bronze" if died == "after rejected" else "append_once"
+    original = getattr(feeds, name)
+
+    def dies(*args):
+        if name == "write_bronze" or "verdicts" in args[1]:
+            raise RuntimeError("died")
+        return original(*args)
+
+    monkeypatch.setattr(feeds, name, dies)
+    with pytest.raises(RuntimeError):
+        run_load(spark, folder, base)
+    monkeypatch.setattr(feeds, name, original)
+    run_load(spark, folder, base)
+    assert spark.read.parquet(f"{base}/rejected/mtlf").count() == 2
+    assert spark.read.parquet(f"{base}/bronze/mtlf").count() == 2
+    assert sorted((r.MTLF or 0) for r in spark.read.parquet(f"{base}/mtlf").collect()) == [0, 2.0]
+
+
+def test_stream_sets_bad_files_aside(spark, landing, tmp_path):
+    base = str(tmp_path / "base")
+    landing("MKT-OP-MTLF-202304010800.csv", SWAPPED)
+    folder = landing("MKT-OP-MTLF-202304010700.csv", LOAD.format(a="12x", b=2))
+    for k in range(2):
+        streams.continuous_ingest(spark, "load_forecast", folder, base, str(tmp_path / f"checkpoint{k}"), max_files=1).awaitTermination()
+    assert sorted(r.reason for r in spark.read.parquet(f"{base}/rejected/mtlf").collect()) == ["header", "number"]
+    assert sorted(r.verdict for r in spark.read.parquet(f"{base}/verdicts/mtlf").collect()) == ["header", "rows"]
+    assert spark.read.parquet(f"{base}/bronze/mtlf").count() == 2
+
+
 def test_generation_is_consolidated(spark, landing, tmp_path):
     base = str(tmp_path / "base")
     folder = landing("MKT-HRLY-GEN-CAP-BY-FUEL-TYPE-20230401.csv", FUEL)

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLAB = 1 << 19      # bytes of text that the array code works on at a time (one text may be longer)
+SLAB = 1 << 21      # bytes of text that the array code works on at a time (one text may be longer)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,14 +23,15 @@ BATCH_BYTES = 8 << 20
 
 
 def use_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package where the cluster sees the same folders (else ``--py-files``).
+    """Let Python workers import this package where the cluster sees the same folders (else ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
 
-    Unless the session says otherwise, Arrow batches end at ``BATCH_BYTES``, so that long texts do not fill a worker.
-    """
+def bound_batches(spark: SparkSession) -> None:
+    """Unless the session says otherwise, Arrow batches end at ``BATCH_BYTES``, so that long texts do not fill a worker."""
     if spark.conf.get(BATCH, None) is None:
         spark.conf.set(BATCH, str(BATCH_BYTES))
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,24 +8,24 @@ or by a distributed regression; none walks over series one by one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
+from hourgrid.operators import leastsquares
 from hourgrid.operators.quantile import exact_quantiles, small_group_quantiles
 from hourgrid.session import materialize
 
 ID, TIME, TARGET = params.ID, params.TIME, params.TARGET
 SEASON_HOURS = 168
+POOLED_ROWS = 50.0      # rows' worth of all horizons that each horizon's regression gets
 
 # Artifact names that mark an ensemble member, and the member kind.
 MEMBER_PATTERNS = {"tsmixer": "mixer", "tide_": "dense", "tft": "attention"}
@@ -134,13 +134,24 @@ def predict_seasonal_naive(
 
 @dataclass
 class LinearMember:
-    """A fitted direct linear model: one regression for all series and horizons."""
+    """A direct linear model, one regression a horizon for all series: two small tables that can be stored."""
 
-    model: PipelineModel
+    coefficients: DataFrame         # (horizon, coefficients, covariates, season_steps)
     residuals: DataFrame            # (horizon, residual_q)
     covariates: tuple[str, ...]
     season_steps: int
-    fill: dict[str, float]          # training means of the features, for missing ones
+
+    def write(self, folder: str) -> None:
+        self.coefficients.write.mode("overwrite").parquet(f"{folder}/linear")
+        self.residuals.write.mode("overwrite").parquet(f"{folder}/linear_residuals")
+
+
+def read_linear(spark: SparkSession, folder: str) -> LinearMember:
+    """The stored member; of an empty one no row is known, and its forecasts are null."""
+    coefficients = spark.read.parquet(f"{folder}/linear")
+    first = coefficients.select("covariates", "season_steps").first()
+    covariates, season = (tuple(first.covariates), first.season_steps) if first is not None else ((), SEASON_HOURS)
+    return LinearMember(coefficients, spark.read.parquet(f"{folder}/linear_residuals"), covariates, season)
 
 
 def _linear_rows(
@@ -169,63 +180,65 @@ def _linear_rows(
         *[F.col(c).cast("double").alias(f"f_{c}") for c in covariates],
     )
     rows = steps.join(at_origin, [ID, "origin"], "left").join(season, [ID, "time"], "left").join(now, [ID, "time"], "left")
+    hour = 2 * math.pi * tu.hour_of_day("time") / 24
     return rows.withColumns({
-        "f_horizon": F.col("horizon").cast("double"),
+        **{f"f_{c}": F.coalesce(f"f_{c}", F.lit(0.0)) for c in covariates},
+        **{f"f_{c}_missing": F.col(f"f_{c}").isNull().cast("double") for c in covariates},
         "f_month": tu.month_of("time").cast("double"),
         "f_weekday": tu.day_of_week("time").cast("double"),
-        "f_hour": tu.hour_of_day("time").cast("double"),
+        "f_hour_sin": F.sin(hour), "f_hour_cos": F.cos(hour),
     })
 
 
-def _linear_features(covariates: Sequence[str]) -> list[str]:
-    return [
-        "f_last", "f_mean_24", "f_mean_168", "f_season", *[f"f_{c}" for c in covariates],
-        "f_horizon", "f_month", "f_weekday", "f_hour",
-    ]
+def linear_features(covariates: Sequence[str]) -> list[str]:
+    """A missing covariate counts 0 and sets its flag, so no row is dropped for it."""
+    both = [name for c in covariates for name in (f"f_{c}", f"f_{c}_missing")]
+    return ["f_last", "f_mean_24", "f_mean_168", "f_season", *both, "f_month", "f_weekday", "f_hour_sin", "f_hour_cos"]
+
+
+def linear_training_rows(
+    dense: DataFrame, origins: DataFrame, horizon: int = params.HORIZON, covariates: Sequence[str] = (), season_steps: int = SEASON_HOURS, step_hours: int = 1,
+) -> DataFrame:
+    """Feature rows of every (series, origin, horizon) with a known outcome."""
+    rows = _linear_rows(dense, origins, horizon, covariates, season_steps, step_hours)
+    return rows.where(F.col("y").isNotNull() & F.col("f_last").isNotNull() & F.col("f_season").isNotNull())
 
 
 def fit_linear(
     dense: DataFrame, origins: DataFrame, horizon: int = params.HORIZON, covariates: Sequence[str] = (),
     levels: Sequence[float] = tuple(params.QUANTILE_LEVELS), season_steps: int = SEASON_HOURS, step_hours: int = 1,
-    regularization: float = 0.01,
+    regularization: float = 0.01, pooled_rows: float = POOLED_ROWS,
 ) -> LinearMember:
-    """Fit on every (series, origin, horizon) with a known outcome.
+    """Fit a regression a horizon on every (series, origin, horizon) with a known outcome.
 
-    A missing covariate takes the mean of the training rows, there and in the forecast, so no
-    row is dropped for it. Residual quantiles are taken per horizon over all series, a pool that grows with
-    the data, so the exact distributed quantile is used.
+    The sums of products by horizon are one aggregation of the rows (see ``leastsquares``). Residual quantiles are taken per
+    horizon over all series, a pool that grows with the data, so the exact distributed quantile is used.
     """
-    names = _linear_features(covariates)
-    rows = _linear_rows(dense, origins, horizon, covariates, season_steps, step_hours).where(F.col("y").isNotNull())
-    rows = rows.where(F.col("f_last").isNotNull() & F.col("f_season").isNotNull())
-    rows = materialize(rows, "linear-rows")
-    fill = rows.agg(*[F.avg(n).alias(n) for n in names]).first().asDict()
-    fill = {n: 0.0 if v is None else float(v) for n, v in fill.items()}
-    rows = rows.fillna(fill)
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
-    regression = LinearRegression(
-        featuresCol="features", labelCol="y", predictionCol="point", regParam=regularization, solver="normal",
+    names = linear_features(covariates)
+    rows = materialize(linear_training_rows(dense, origins, horizon, covariates, season_steps, step_hours), "linear-rows")
+    fitted = leastsquares.fit(leastsquares.moments(rows, names, "y", ["horizon"]), "horizon", (regularization,), pooled_rows)
+    listed = F.array(*[F.lit(c) for c in covariates]).cast("array<string>")
+    coefficients = materialize(fitted.select("horizon", "coefficients", listed.alias("covariates"), F.lit(season_steps).alias("season_steps")), "linear")
+    errors = rows.join(coefficients.select("horizon", "coefficients"), "horizon").select(
+        "horizon", (F.col("y") - leastsquares.predicted("coefficients", names)).alias("residual")
     )
-    fitted = regression.fit(assembler.transform(rows))
-    model = PipelineModel([assembler, fitted])
-    errors = model.transform(rows).select("horizon", (F.col("y") - F.col("point")).alias("residual"))
     residuals = exact_quantiles(errors, ["horizon"], "residual", levels).groupBy("horizon").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("level", "quantile"))), lambda r: r["quantile"]
         ).alias("residual_q")
     )
-    return LinearMember(model, residuals, tuple(covariates), season_steps, fill)
+    return LinearMember(coefficients, residuals, tuple(covariates), season_steps)
 
 
 def predict_linear(
     member: LinearMember, dense: DataFrame, origins: DataFrame, horizon: int = params.HORIZON, step_hours: int = 1
 ) -> DataFrame:
+    """Every (series, origin, horizon); null where the last or the seasonal value is unknown, or the horizon was not fitted."""
     rows = _linear_rows(dense, origins, horizon, member.covariates, member.season_steps, step_hours)
-    known = F.col("f_last").isNotNull() & F.col("f_season").isNotNull()
-    marked = rows.withColumn("_known", known).fillna(member.fill)
-    scored = member.model.transform(marked).join(member.residuals, "horizon", "left")
-    return scored.select(
-        ID, "origin", "horizon", "time", F.when(F.col("_known"), F.transform("residual_q", lambda r: r + F.col("point"))).alias("q")
+    scored = rows.join(member.coefficients.select("horizon", "coefficients"), "horizon", "left").join(member.residuals, "horizon", "left")
+    point = leastsquares.predicted("coefficients", linear_features(member.covariates))
+    return scored.withColumn("_point", point).select(
+        ID, "origin", "horizon", "time", F.when(F.col("_point").isNotNull(), F.transform("residual_q", lambda r: r + F.col("_point"))).alias("q")
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from hourgrid import params
 from hourgrid.functions.measures import clamp
 from hourgrid.operators import series
+from hourgrid.operators.training import training_origins
 from hourgrid.plans import evaluate, features, forecast, profile, registry
 from hourgrid.session import materialize
 from hourgrid.sources.tables import read_table, table_path
@@ -32,8 +33,13 @@ class RetrainResult:
     promoted: bool
 
 
-def fit_members(train: DataFrame, folder: str) -> None:
-    """Fit the hour-of-week profile, the seasonal-naive member and the quantiles they fall back to, and store them."""
+LINEAR_STRIDE = 24      # hours between the origins that the linear member learns from
+
+
+def fit_members(train: DataFrame, folder: str, horizon: int = params.HORIZON, input_chunk: int = params.INPUT_CHUNK) -> None:
+    """Fit the hour-of-week profile, the seasonal-naive and the linear member and the quantiles they fall back to, and store them."""
+    origins = training_origins(train, input_chunk=input_chunk, horizon=horizon, stride=LINEAR_STRIDE)
+    forecast.fit_linear(train, origins, horizon).write(folder)
     forecast.fit_profile(train).write.mode("overwrite").parquet(f"{folder}/profile")
     forecast.fit_seasonal_naive(train).write.mode("overwrite").parquet(f"{folder}/seasonal_naive")
     by_series, pooled = forecast.fit_fallback(train)
@@ -49,7 +55,12 @@ def predict_stored(spark: SparkSession, folder: str, history: DataFrame, targets
     """
     by_week = forecast.predict_profile(spark.read.parquet(f"{folder}/profile"), targets)
     naive = forecast.predict_seasonal_naive(spark.read.parquet(f"{folder}/seasonal_naive"), history, targets)
-    mean = forecast.ensemble_mean([by_week, naive])
+    members = [by_week, naive]
+    if read_table(spark, f"{folder}/linear") is not None:       # artifacts of earlier versions have two members
+        horizon = targets.agg(F.max("horizon")).first()[0] or 0
+        linear = forecast.predict_linear(forecast.read_linear(spark, folder), history, targets.select(ID, "origin").distinct(), horizon)
+        members.append(targets.select(ID, "origin", "horizon", "time").join(linear.drop("time"), [ID, "origin", "horizon"], "left"))
+    mean = forecast.ensemble_mean(members)
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
     return forecast.with_fallback(mean, read("series_quantiles"), read("pooled_quantiles"))
 
@@ -86,7 +97,7 @@ def retrain(
     parts = series.temporal_split(dense, TIME, input_chunk, buffer_hours)
     folder = f"{base.rstrip('/')}/model_retrains/{version}"
     evaluation = f"{folder}/evaluation"
-    fit_members(parts["train"], evaluation)
+    fit_members(parts["train"], evaluation, horizon, input_chunk)
 
     log = f"{base.rstrip('/')}/registry"
     history = series.truncate_history(dense, parts["test"].agg(F.min(TIME)).scalar())
@@ -112,7 +123,7 @@ def retrain(
     if verdict is not None and verdict.promoted:
         evaluate.smoke_test(scored)
         # What is promoted has seen the test hours too; the errors above are of the fit without them.
-        fit_members(parts["train_test"], folder)
+        fit_members(parts["train_test"], folder, horizon, input_chunk)
         overall = report.where(F.col(ID).isNull()).first()
         at = promoted_at or datetime.now()
         registry.promote(spark, log, {

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import DECIMALS, IV, PRICE, dense_sql, intervals, mean, r6, rounded, table, total
+from checks.base import DAILY, DECIMALS, IV, PRICE, dense_sql, intervals, mean, r6, rounded, table, total
 from checks.panel import dense, dense_daily
 from hourgrid import params
 from hourgrid.functions import timeutil as tu
 from hourgrid.functions.measures import mean_of, sum_of
-from hourgrid.operators import ranking, series
+from hourgrid.operators import leastsquares, ranking, series
 from hourgrid.operators.quantile import exact_quantiles
 from hourgrid.operators.training import training_origins
 from hourgrid.plans import evaluate, forecast, report, trials
+from hourgrid.session import materialize
 
 Q: dict = {}
 
@@ -249,6 +250,41 @@ def _(spark, sf):
     return q_columns(forecast.predict_linear(fitted, full, last, params.HORIZON, 24), "unique_id", "origin", "horizon", "time")
 
 
+MOMENTS = f"""WITH {DAILY}, {dense_sql('daily', ['LMP', 'MTLF'], '1 DAY')},
+d AS MATERIALIZED (SELECT *, row_number() OVER w - 1 AS step, avg(LMP) OVER (w ROWS 23 PRECEDING) AS mean_24, count(*) OVER (PARTITION BY unique_id) - 1 AS last
+      FROM dense WINDOW w AS (PARTITION BY unique_id ORDER BY timestamp_mst)),
+e AS MATERIALIZED (SELECT unique_id, step, LMP AS f_last, mean_24 AS f_mean, unnest(range(1, {params.HORIZON} + 1)) AS h FROM d
+      WHERE step >= {params.INPUT_CHUNK - 1} AND (step - {params.INPUT_CHUNK - 1}) % {params.BACKTEST_STRIDE} = 0 AND step <= last - {params.HORIZON}),
+r AS (SELECT e.h AS horizon, t.LMP AS y, e.f_last, e.f_mean, s.LMP AS f_season FROM e JOIN d t ON t.unique_id = e.unique_id AND t.step = e.step + e.h
+      JOIN d s ON s.unique_id = e.unique_id AND s.step = e.step + e.h - {forecast.SEASON_HOURS})
+SELECT CAST(horizon AS INTEGER) AS horizon, count(*) AS n_rows, round(avg(y), 6) AS mean_y, round(sum(y * f_last) / sum(y * y), 9) AS by_last,
+ round(sum(y * f_mean) / sum(y * y), 9) AS by_mean, round(sum(y * f_season) / sum(y * y), 9) AS by_season, true AS solved FROM r GROUP BY horizon"""
+
+
+@query("linear_moments", MOMENTS)
+def _(spark, sf):
+    """Sums of products that the linear member is fitted from, by horizon, and whether its coefficients solve the normal equations."""
+    full, names = dense_daily(spark, sf), forecast.linear_features(["MTLF"])
+    rows = materialize(forecast.linear_training_rows(full, training_origins(full, step_hours=24), params.HORIZON, ["MTLF"], step_hours=24), "rows")
+    parts = leastsquares.moments(rows, names, "y", ["horizon"])
+    size = len(names) + 2
+    sums = lambda i, j: F.col("m")[i * size - i * (i - 1) // 2 + j - i]
+    by = {"by_last": "f_last", "by_mean": "f_mean_24", "by_season": "f_season"}
+    last = size - 1
+    shown = parts.select(
+        "horizon", F.col("n").alias("n_rows"), (sums(0, last) / F.col("n")).alias("mean_y"),
+        *[F.round(sums(names.index(f) + 1, last) / sums(last, last), 9).alias(c) for c, f in by.items()],
+    ).withColumn("mean_y", F.round("mean_y", 6))
+    fitted = leastsquares.fit(parts, "horizon", (0.0,)).select("horizon", "coefficients")
+    errors = rows.join(fitted, "horizon").withColumn("e", F.col("y") - leastsquares.predicted("coefficients", names))
+    # Errors are orthogonal to every feature, and to 1.
+    near = lambda x: F.abs(F.avg(F.col("e") * x)) <= 1e-6 * F.sqrt(F.avg(F.col("y") * F.col("y")) * F.avg(x * x)) + 1e-9
+    solved = near(F.lit(1.0))
+    for n in names:
+        solved = solved & near(F.col(n))
+    return shown.join(errors.groupBy("horizon").agg(solved.alias("solved")), "horizon")
+
+
 @query("member_discovery", """SELECT p_partkey, artifact, kind AS member_kind FROM (SELECT p_partkey, artifact, CASE WHEN contains(artifact, 'tsmixer') THEN 'mixer'
  WHEN contains(artifact, 'tide_') THEN 'dense' WHEN contains(artifact, 'tft') THEN 'attention' END AS kind FROM
  (SELECT p_partkey, CASE WHEN p_size < 10 THEN 'tide_' WHEN p_size < 20 THEN 'tft_' WHEN p_size < 30 THEN 'tsmixer_' ELSE 'other_' END || CAST(p_partkey AS VARCHAR) ||

@@ -13,7 +13,7 @@ from hourgrid.operators import leastsquares, ranking, series
 from hourgrid.operators.quantile import exact_quantiles
 from hourgrid.operators.training import training_origins
 from hourgrid.plans import evaluate, forecast, report, trials
-from hourgrid.session import materialize
+from hourgrid.session import materialize, scratch_path
 
 Q: dict = {}
 
@@ -350,6 +350,25 @@ def _(spark, sf):
     return rounded(trials.score_seasons(train, test, [24, 48, 168]))
 
 
+SEARCHED = [(24, 72), (24, 400), (48, 72), (48, 400), (168, 72), (168, 400)]
+
+
+def _trial_sql(number, season, window):
+    recent = f"a.timestamp_mst > (SELECT max(timestamp_mst) FROM train) - INTERVAL {window} HOUR AND c.timestamp_mst = a.timestamp_mst"
+    return _season_sql(season).replace("c.timestamp_mst = a.timestamp_mst", recent).replace(f"SELECT {season} AS", f"SELECT CAST({number} AS BIGINT) AS number, CAST({window} AS BIGINT) AS window_hours, CAST({season} AS BIGINT) AS", 1)
+
+
+@query("search_trials", BACKTEST + ", g AS (" + " UNION ALL ".join(_trial_sql(i, *t) for i, t in enumerate(SEARCHED)) + """) SELECT number, season_hours, window_hours,
+ round(value_0, 6) AS value_0, round(value_1, 6) AS value_1, round(value_0 + 0.5 * value_1, 6) AS total_value FROM g ORDER BY value_0 + 0.5 * value_1, number LIMIT 5""")
+def _(spark, sf):
+    """A search in two runs over one stored table: the second adds a window to the first."""
+    train, test = split(spark, sf)
+    path = scratch_path(spark, "trials")
+    grid = trials.parameter_grid(spark, season_hours=[24, 48, 168], window_hours=[72, 400])
+    trials.search(train, test, grid.where("window_hours = 72"), path)
+    return rounded(trials.best_trials(trials.search(train, test, grid, path), weight=0.5).drop("params"))
+
+
 def trial_rows(spark, sf):
     """Parts as trials: size and price objectives, brand and type as parameters."""
     p = table(spark, sf, "part")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourgrid import params
@@ -13,7 +13,7 @@ from hourgrid.functions import timeutil as tu
 from hourgrid.operators.quantile import small_group_quantiles
 from hourgrid.operators.ranking import first_per_key, or_infinity, top_rows, weighted_score
 from hourgrid.plans.evaluate import coverage_error, mae
-from hourgrid.plans.forecast import season_residuals
+from hourgrid.sources.tables import read_table
 
 ID, TIME, TARGET = params.ID, params.TIME, params.TARGET
 
@@ -40,34 +40,66 @@ def parameter_grid(spark: SparkSession, **choices: Sequence) -> DataFrame:
     return grid.withColumn("params", F.to_json(F.struct(*names)))
 
 
+def score_trials(
+    train: DataFrame, test: DataFrame, grid: DataFrame, ids: Sequence[str] = (ID,), time: str = TIME, value: str = TARGET,
+) -> DataFrame:
+    """The trials of ``grid`` with value_0 (MAE) and value_1 (coverage error) on the test range, means over series.
+
+    A trial forecasts the value ``season_hours`` earlier, with quantiles of its training residuals; with ``window_hours`` (null: no
+    bound) only those of the last so many training hours count. Trials are rows: each series meets its shifted copies by time once
+    a season, then the trials of that season, so the plan is the same for any number of trials. A group is a series and a trial.
+    The grid comes from the caller and is as small as that. A trial without any row has null values. Of
+    repeated (series, time) rows one counts, a training row before a test row.
+    """
+    keys = list(ids)
+    named = grid.select(
+        F.col("number").cast("long").alias("number"), F.col("season_hours").cast("int").alias("season"),
+        (F.col("window_hours") if "window_hours" in grid.columns else F.lit(None)).cast("int").alias("window"),
+    )
+    seasons = named.agg(F.collect_set("season")).scalar()
+    end = train.agg(F.max(time)).scalar()
+
+    rows = lambda df, fits: df.select(*keys, F.col(time), F.col(value).cast("double").alias("y"), F.lit(fits).alias("fits"))
+    known = rows(train, True).unionByName(rows(test, False)).groupBy(*keys, time).agg(F.max(F.struct("fits", "y")).alias("row"))
+    now = known.select(*keys, time, "row.y", "row.fits")
+    past = known.withColumn("season", F.explode(seasons)).select(
+        *keys, (F.col(time) + tu.hours(F.col("season"))).alias(time), "season", F.col("row.y").alias("base"), F.col("row.fits").alias("base_fits")
+    )
+    met = now.join(past, [*keys, time]).join(named, "season")
+    recent = F.col("window").isNull() | (F.col(time) > end - tu.hours(F.col("window")))
+    residual = F.when(F.col("fits") & F.col("base_fits") & recent, F.col("y") - F.col("base"))
+    own = Window.partitionBy(*keys, "number")
+    fitted = met.select(*keys, "number", "fits", "y", "base", residual.alias("residual")).withColumn(
+        "rq", small_group_quantiles("residual", params.REPORT_QUANTILES).over(own)
+    )
+    low, mid, high = (F.col("base") + F.col("rq")[i] for i in range(3))
+    per_series = fitted.where(~F.col("fits") & F.col("rq").isNotNull()).groupBy(*keys, "number").agg(
+        mae("y", mid).alias("v0"), coverage_error("y", low, high).alias("v1")
+    )
+    scored = per_series.groupBy("number").agg(F.avg("v0").alias("value_0"), F.avg("v1").alias("value_1"))
+    return grid.join(scored, "number", "left").select(*grid.columns, "value_0", "value_1")
+
+
 def score_seasons(
     train: DataFrame, test: DataFrame, seasons: Sequence[int], ids: Sequence[str] = (ID,), time: str = TIME, value: str = TARGET
 ) -> DataFrame:
-    """Score every season length on the test range in one job.
+    """Rows (season_hours, value_0, value_1) of trials that differ in their season alone."""
+    grid = parameter_grid(train.sparkSession, season_hours=list(seasons))
+    return score_trials(train, test, grid, ids, time, value).select(F.col("season_hours").cast("int").alias("season_hours"), "value_0", "value_1")
+
+
+def search(train: DataFrame, test: DataFrame, grid: DataFrame, path: str, **options) -> DataFrame:
+    """Score the trials of ``grid`` that the trial table at ``path`` lacks, append them and return the table's trials of the grid.
 
-    Rows (season_hours, value_0 = MAE, value_1 = coverage error), means over series.
-    Each season is a shifted copy of the series joined by time.
+    Trials are told apart by ``params``. All new ones are committed by one append, so a search that died is simply repeated, and
+    one that is extended pays for its new trials only.
     """
-    parts = []
-    for season in seasons:
-        fitted = season_residuals(train, season, ids, time, value).groupBy(*ids).agg(
-            small_group_quantiles("residual", params.REPORT_QUANTILES).alias("rq")
-        )
-        base = train.unionByName(test).dropDuplicates([*ids, time]).select(
-            *ids, (F.col(time) + tu.hours(season)).alias(time), F.col(value).cast("double").alias("_base")
-        )
-        scored = test.select(*ids, time, F.col(value).cast("double").alias("_y")).join(base, [*ids, time]).join(fitted, list(ids))
-        low, mid, high = (F.col("_base") + F.col("rq")[i] for i in range(3))
-        per_series = scored.groupBy(*ids).agg(mae("_y", mid).alias("v0"), coverage_error("_y", low, high).alias("v1"))
-        parts.append(
-            per_series.agg(F.avg("v0").alias("value_0"), F.avg("v1").alias("value_1")).select(
-                F.lit(season).alias("season_hours"), "value_0", "value_1"
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    spark = train.sparkSession
+    stored = read_table(spark, path)
+    missing = grid if stored is None else grid.join(stored.select("params"), "params", "left_anti").select(*grid.columns)
+    if not missing.isEmpty():
+        append_trials(objectives(score_trials(train, test, missing, **options)), path)
+    return spark.read.parquet(path).join(grid.select("params"), "params", "left_semi")
 
 
 def append_trials(trials: DataFrame, path: str) -> None:

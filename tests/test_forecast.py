@@ -224,6 +224,60 @@ def test_search_prefers_the_true_season(spark):
     assert out.orderBy("value_0").first().season_hours == 168
 
 
+def brute_trial(rows, at, season, window):
+    """(MAE, coverage error) of a trial from dictionaries, means over series."""
+    maes, errors = [], []
+    end = max(t for _, t, _ in rows if t < at)
+    for node in sorted({r[0] for r in rows}):
+        y = {t: v for n, t, v in rows if n == node}
+        back = timedelta(hours=season)
+        fit = [y[t] - y[t - back] for t in y if t < at and t - back in y and (window is None or t > end - timedelta(hours=window))]
+        asked = [t for t in y if t >= at and t - back in y]
+        if fit and asked:
+            low, mid, high = np.quantile(fit, params.REPORT_QUANTILES)
+            maes.append(np.mean([abs(y[t] - y[t - back] - mid) for t in asked]))
+            inside = [y[t - back] + low < y[t] < y[t - back] + high for t in asked]
+            errors.append(100 * abs(np.mean(inside) - params.TARGET_COVERAGE))
+    return (np.mean(maes), np.mean(errors)) if maes else (None, None)
+
+
+def test_trials_are_rows_and_equal_brute_force(spark):
+    df = weekly(spark, 3).where("NOT (unique_id = 'a' AND hour(timestamp_mst) = 5)")
+    at = datetime(2024, 1, 16)
+    train, test = df.where(F.col("timestamp_mst") < F.lit(at).cast("timestamp_ntz")), df.where(F.col("timestamp_mst") >= F.lit(at).cast("timestamp_ntz"))
+    grid = trials.parameter_grid(spark, season_hours=[24, 61, 9000], window_hours=[30, 200, None])
+    scored = trials.score_trials(train.unionByName(train), test, grid)      # repeated rows count once
+    rows = [(r.unique_id, r.timestamp_mst, r.LMP) for r in df.collect()]
+    out = scored.collect()
+    assert len(out) == 9
+    for r in out:
+        want = brute_trial(rows, at, r.season_hours, r.window_hours)
+        assert [r.value_0, r.value_1] == ([None, None] if want[0] is None else pytest.approx(want))
+    assert trials.score_trials(train.limit(0), test, grid).where("value_0 IS NULL").count() == 9
+    assert trials.score_trials(train, test, grid.limit(0)).count() == 0
+
+
+def test_plan_does_not_grow_with_trials(spark):
+    df = weekly(spark, 1)
+    size = lambda g: trials.score_trials(df, df, g)._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    few = trials.parameter_grid(spark, season_hours=[24])
+    many = trials.parameter_grid(spark, season_hours=list(range(1, 40)), window_hours=[24, 48])
+    assert size(few) == size(many)
+
+
+def test_search_resumes(spark, tmp_path):
+    df = weekly(spark, 3)
+    at = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    train, test = df.where(F.col("timestamp_mst") < at), df.where(F.col("timestamp_mst") >= at)
+    path = str(tmp_path / "trials")
+    grid = trials.parameter_grid(spark, season_hours=[24, 168, 9000])
+    assert trials.search(train, test, grid.where("season_hours = 24"), path).count() == 1
+    out = {r.season_hours: r.value_0 for r in trials.search(train, test, grid, path).collect()}
+    assert set(out) == {24, 168, 9000} and out[168] < out[24] and out[9000] == float("inf")
+    trials.search(train, test, grid, path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_every_target_row_comes_out(spark):
     """Little history, unknown series, missing covariates: rows stay, without a value at worst."""
     t0 = datetime(2024, 1, 1)

@@ -17,9 +17,10 @@ a text. The model is a true distribution: over all texts its probabilities sum t
    share. So an unknown word has the probability of its spelling among the unknown, not a fixed one.
 4. A token's probability comes from the longest suffix of its past that the tree holds, smoothed along its shorter ones.
 
-A task holds the most frequent tokens and contexts: by halving thresholds as many as fit ``TOKENS`` tokens and ``STATES`` next
-tokens, measured before the broadcast. Which others there are it knows from bit maps; places that need them go out as rows, are joined to the written
-tables, and are summed by document. Both ways give the same values.
+A task holds the most frequent tokens, contexts and next tokens: by thresholds as many as fit ``TOKENS`` tokens, ``STATES`` contexts and ``STATES``
+next tokens, counted before the broadcast. Which others there are it knows from bit maps; tokens that need them go out as rows, are joined to the written
+tables, and are summed by document. In held contexts a probability is linear in the counts that are not held, so such a row has a factor for each of them
+and most rows meet one table once. Both ways give the same values.
 
 Defined results: a null text is empty (the end alone); a null id counts as the empty text for
 the fold and stays null; repeated rows give repeated rows; without training documents N and V
@@ -48,6 +49,7 @@ FOLD = (7, 2)
 SPELL = 4                               # bytes of the longest context of a spelling
 TOKENS, STATES, CODES = 1 << 19, 1 << 20, 1 << 18       # broadcast at most
 END_HASH = np.uint64(0x1F0A)
+FINE = 1 << 12                          # thresholds below it are any number
 HELD = 1 << 19                          # distinct keys a task holds before it gives them on
 #: Fixed values of the spelling: the byte that ends a word, the one before a token, which also ends a text; no word holds them.
 BLANK, LAST = 0x20, 0x0A
@@ -81,16 +83,23 @@ def context_of(words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def after(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a token after a context."""
-    return mix(context + word * STEP)
-
-
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def _maps(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bit maps of the low and the high bits of ``key``: half the bits each, and few others are in both."""
+    most = collocations.FILTER_BITS // 2
+    return collocations.bit_map(keys, F.col("key"), most), collocations.bit_map(keys, F.shiftrightunsigned("key", 32), most)
+
+
+def _in(maps: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    found = _has(maps[0], keys)
+    found[found] = _has(maps[1], keys[found] >> np.uint64(32))
+    return found
+
+
 # --- spelling ---------------------------------------------------------------------------
 
 def spelled(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -282,7 +291,7 @@ def _gain(n: Column, q: Column, rest: Column, total: Column) -> Column:
 
 
 def tree(documents: DataFrame, counts: DataFrame, depth: int = DEPTH, least: int = LEAST, diverge: float = DIVERGE, weight: float = WEIGHT) -> tuple[DataFrame, DataFrame]:
-    """The kept contexts (context, places, rest, total) and their next tokens (context, word, n, places); written tables.
+    """The kept contexts (context, places, rest, total) and their next tokens (context, word, n, places, total, whole: the hash of both); written tables.
 
     Of each level one table of runs is written. Its rows are joined to their run without the first token, then to their context, and
     stay partitioned by context for the sums over it; a context has a row for each of its next tokens at most.
@@ -319,40 +328,42 @@ def tree(documents: DataFrame, counts: DataFrame, depth: int = DEPTH, least: int
         )
         for b in sent:
             b.destroy()
-        good = level.filter("kept").select("context", "word", "n", "places", "rest", "total")
+        good = level.filter("kept").select("context", "word", "n", "places", "rest", "total", "whole")
         kept = good if kept is None else kept.unionByName(good)
         lower = level.select("whole", "n", "share")
     entries = materialize(kept, "entries")
     states = materialize(entries.groupBy("context").agg(*[F.first(c).alias(c) for c in ("places", "rest", "total")]), "states")
-    return states, entries.select("context", "word", "n", "places")
+    return states, entries.select("context", "word", "n", "places", "total", "whole")
 
 
 # --- what a task holds --------------------------------------------------------------
 
 def threshold(counts: DataFrame, value: str, most: int) -> int:
-    """The least power of two so that at most ``most`` rows have as large a value."""
-    rows = counts.groupBy(F.floor(F.log2(value)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    """The least number below ``FINE``, or power of two from there on, so that at most ``most`` rows have as large a value."""
+    step = F.when(F.col(value) < FINE, F.col(value)).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(value))).cast("long"))
+    rows = counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("rows")).collect()
     size, least = 0, 1 << 62
     for b, n in sorted(((r["b"], r["rows"]) for r in rows), reverse=True):
         size += n
         if size > most:
             break
-        least = 1 << b
+        least = b
     return least
 
 
 @dataclass
 class Held:
-    """Frequent tokens with their counts, frequent contexts with their next tokens, and bit maps of all others."""
+    """Frequent tokens, contexts and next tokens, and bit maps of what is not here."""
 
     tokens: np.ndarray
     counts: np.ndarray
-    rarer: np.ndarray | None        # bit map of the tokens that are not here
+    rare: tuple[np.ndarray, np.ndarray] | None      # bit maps of the tokens and runs that are not here; none if all are
     contexts: np.ndarray
     rest: np.ndarray                # share of the suffix's distribution
-    pairs: np.ndarray               # hashes of next tokens after contexts
+    totals: np.ndarray
+    runs: np.ndarray                # hashes of contexts with a next token
     shares: np.ndarray
-    known: np.ndarray               # bit map of all contexts
+    known: tuple[np.ndarray, np.ndarray]            # bit maps of all contexts
     whole: bool                     # all contexts are here
     codes: np.ndarray
     code_counts: np.ndarray
@@ -361,31 +372,34 @@ class Held:
     distinct: int
     depth: int
     least: int                      # count of the tokens here
+    places: int                     # places of the contexts here
+    said: int                       # count of the next tokens here
+
+
+def _rare(counts: DataFrame, entries: DataFrame, least: int, said: int) -> DataFrame:
+    """(key, value): counts of the tokens and of the runs that no task holds."""
+    value = F.col("n").cast("double").alias("value")
+    words = counts.filter(F.col("n") < least).select("key", value)
+    return words.unionByName(entries.filter(F.col("n") < said).select(F.col("whole").alias("key"), value))
 
 
 def held(counts: DataFrame, states: DataFrame, entries: DataFrame, depth: int, tokens: int = TOKENS, most: int = STATES) -> Held:
     words = counts.select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    least = threshold(words, "n", tokens)
+    least, places, said = threshold(words, "n", tokens), threshold(states, "places", most), threshold(entries, "n", most)
     top = words.filter(F.col("n") >= least).toArrow()
-    rare = words.filter(F.col("n") < least)
+    rare = _rare(counts, entries, least, said)
     codes = spelling(counts).withColumn("front", F.shiftrightunsigned("key", 8))
     fronts = codes.groupBy(F.col("front").alias("f")).agg(F.sum("n").alias("whole"))
     spelt = codes.filter(F.col("n") >= threshold(codes, "n", CODES)).join(fronts, F.col("front") == F.col("f")).select("key", "n", "whole").toArrow()
-    places = threshold(entries, "places", most)
     own = states.filter(F.col("places") >= places).select("context", (F.col("rest") / F.col("total")).alias("rest"), "total").toArrow()
-    kept = entries.filter(F.col("places") >= places).select("context", "word", "n").toArrow()
+    kept = entries.filter(F.col("n") >= said).select("whole", (F.col("n") / F.col("total")).alias("share")).toArrow()
     as_ids = lambda t, c: t.column(c).to_numpy().view(np.uint64)
-    contexts = as_ids(own, "context")
-    order = np.argsort(contexts)
-    contexts, sums = contexts[order], own.column("total").to_numpy()[order]
-    of = as_ids(kept, "context")
-    pairs = after(of, as_ids(kept, "word"))
-    shares = kept.column("n").to_numpy() / sums[np.searchsorted(contexts, of)] if len(of) else np.zeros(0)
     return Held(
-        as_ids(top, "key"), top.column("n").to_numpy(), collocations.bit_map(rare, F.col("key")) if distinct > len(top) else None,
-        contexts, own.column("rest").to_numpy()[order], pairs, shares, collocations.bit_map(states, F.col("context")),
-        states.filter(F.col("places") < places).limit(1).count() == 0, as_ids(spelt, "key"), spelt.column("n").to_numpy(), spelt.column("whole").to_numpy(), int(total), int(distinct), depth, least,
+        as_ids(top, "key"), top.column("n").to_numpy(), _maps(rare) if rare.limit(1).count() else None,
+        as_ids(own, "context"), own.column("rest").to_numpy(), own.column("total").to_numpy(), as_ids(kept, "whole"), kept.column("share").to_numpy(),
+        _maps(states.select(F.col("context").alias("key"))), states.filter(F.col("places") < places).limit(1).count() == 0,
+        as_ids(spelt, "key"), spelt.column("n").to_numpy(), spelt.column("whole").to_numpy(), int(total), int(distinct), depth, least, places, said,
     )
 
 
@@ -394,9 +408,8 @@ class Model:
 
     def __init__(self, h: Held):
         self.held = h
-        self.token, self.context, self.pair = Lookup(h.tokens), Lookup(h.contexts), Lookup(h.pairs)
-        self.counts = np.append(h.counts, 0)
-        self.rest, self.shares = np.append(h.rest, 1.0), np.append(h.shares, 0.0)
+        self.token, self.context, self.run = Lookup(h.tokens), Lookup(h.contexts), Lookup(h.runs)
+        self.counts, self.shares = np.append(h.counts, 0), np.append(h.shares, 0.0)
         self.speller = Speller(h.codes, h.code_counts, h.code_totals)
         self.word, self.spelt = np.zeros(1 << WORD_BITS, np.uint64), np.zeros(1 << WORD_BITS)
 
@@ -422,7 +435,8 @@ class Model:
         return 1.0 / (self.held.total + self.held.distinct) if self.held.total else 0.0
 
     def slab(self, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, place: np.ndarray) -> dict:
-        """Of each token: count (-1 if it has to be looked up), log10 spelling, and plus and times of its contexts; unheld contexts by level."""
+        """Of each token: count (-1 if it has to be looked up), log10 spelling, and plus and times of its contexts; also the runs to look up
+        (token, run, factor of its count) and the contexts to look up (token, context, run), by level."""
         h = self.held
         end = np.zeros(len(ids), bool)
         end[place[1:] - 1] = True
@@ -433,28 +447,34 @@ class Model:
             spelt[~end] = self.spellings(distinct, lower, starts[at], ends[at])[inverse]
         number = self.token(np.append(distinct, END_HASH))
         count = self.counts[number]
-        if h.rarer is not None:
-            count = np.where((number < 0) & _has(h.rarer, np.append(distinct, END_HASH)), -1, count)
+        if h.rare is not None:
+            count = np.where((number < 0) & _in(h.rare, np.append(distinct, END_HASH)), -1, count)
         per_token = np.full(len(ids), count[-1], np.int64)
         per_token[~end] = count[:-1][inverse]
         plus, times = np.zeros(len(ids)), np.ones(len(ids))
         position = np.arange(len(ids)) - np.repeat(place[:-1], np.diff(place))
-        context = ids.copy()
-        unheld = []
+        run = ids
+        doubt, unheld = [], []
         for level in range(1, h.depth + 1):
-            if level > 1:
-                context[level - 1:] = longer(context[level - 1:], ids[: len(ids) - level + 1])
+            context, run = run, run.copy()
+            run[level:] = longer(context[level:], ids[: len(ids) - level])
             here = np.flatnonzero(position >= level)
-            here = here[_has(h.known, context[here - 1])]
+            here = here[_in(h.known, context[here - 1])]
             own = context[here - 1]
             number = self.context(own)
             met = number >= 0
-            rest = self.rest[number[met]]
-            share = self.shares[self.pair(after(own[met], ids[here[met]]))]
-            plus[here[met]] = share + rest * plus[here[met]]
-            times[here[met]] *= rest
-            unheld.append((np.zeros(0, np.int64), np.zeros(0, np.uint64)) if h.whole else (here[~met], own[~met]))
-        return {"count": per_token, "spelt": spelt, "plus": plus, "times": times, "unheld": unheld}
+            if not h.whole:
+                unheld.append((here[~met], own[~met], run[here[~met]]))
+            here, number = here[met], number[met]
+            next_ = self.run(run[here])
+            plus[here] = self.shares[next_] + h.rest[number] * plus[here]
+            times[here] *= h.rest[number]
+            if h.rare is not None:
+                new = np.flatnonzero(next_ < 0)
+                new = new[_in(h.rare, run[here[new]])]
+                doubt.append((here[new], run[here[new]], 1.0 / h.totals[number[new]] / times[here[new]]))
+        doubt = [(at, key, factor * times[at]) for at, key, factor in doubt]
+        return {"count": per_token, "spelt": spelt, "plus": plus, "times": times, "doubt": doubt, "unheld": unheld}
 
 
 def first_share(count, spelt, total: int, distinct: int):
@@ -464,11 +484,14 @@ def first_share(count, spelt, total: int, distinct: int):
 
 
 _MODELS: dict[int, Model] = {}
-#: A token whose probability is plus + times * count, before the contexts that are not held; count -1 if it has to be looked up.
-OPEN = pa.struct([("word", pa.int64()), ("count", pa.int64()), ("plus", pa.float64()), ("times", pa.float64()), ("contexts", pa.list_(pa.int64()))])
+#: A token whose probability in its held contexts is plus and the terms' factors times what ``_rare`` has for their keys; then come the contexts that
+#: are not held, short ones first. Of a rare token the first term is its own count.
+TERM = pa.struct([("key", pa.int64()), ("factor", pa.float64())])
+STEPS = pa.struct([("context", pa.int64()), ("run", pa.int64())])
+OPEN = pa.struct([("rare", pa.bool_()), ("plus", pa.float64()), ("terms", pa.list_(TERM)), ("contexts", pa.list_(STEPS))])
 SCORED = (
     "row long, doc_id long, n_tokens long, known long, base double, score double, "
-    "open array<struct<word:long,count:long,plus:double,times:double,contexts:array<long>>>"
+    "open array<struct<rare:boolean,plus:double,terms:array<struct<key:long,factor:double>>,contexts:array<struct<context:long,run:long>>>>"
 )
 
 
@@ -487,17 +510,18 @@ def _score(held_b):
                 n = len(place) - 1
                 document = np.repeat(np.arange(n), np.diff(place))
                 v = model.slab(lower, starts, ends, ids, place)
-                waits = v["count"] < 0
-                for at, _ in v["unheld"]:
+                rare = v["count"] < 0
+                waits = rare.copy()
+                for at, *_ in (*v["doubt"], *v["unheld"]):
                     waits[at] = True
-                done = ~waits
-                counted = np.where(v["count"] < 0, 0, v["count"])
-                value = np.log10(v["plus"][done] + v["times"][done] * model.first(counted[done], v["spelt"][done]))
+                counted = np.where(rare, 0, v["count"])
+                value = v["plus"] + v["times"] * model.first(counted, v["spelt"])
                 base = np.log10((counted + 1.0) / (h.total + h.distinct + 1.0))
-                sums = [np.bincount(document[done], weight, n).astype(np.float64) for weight in (counted[done] > 0, base[done], value)]
+                sums = [np.bincount(document, weight, n).astype(np.float64) for weight in (counted > 0, np.where(rare, 0.0, base))]
+                sums.append(np.bincount(document[~waits], np.log10(value[~waits]), n).astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(number + np.arange(n)), batch.column(0).slice(i, n), pa.array(np.diff(place)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, waits, document, n)],
+                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, value, np.flatnonzero(waits), document, n)],
                     names=["row", "doc_id", "n_tokens", "known", "base", "score", "open"],
                 )
                 number += n
@@ -505,60 +529,61 @@ def _score(held_b):
     return run
 
 
-def _open(model: Model, ids: np.ndarray, v: dict, waits: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
-    at = np.flatnonzero(waits)
-    if len(v["unheld"]) and any(len(x) for x, _ in v["unheld"]):
-        token = np.concatenate([x for x, _ in v["unheld"]])
-        context = np.concatenate([c for _, c in v["unheld"]])
-        order = np.argsort(token, kind="stable")        # short contexts first
-        token, context = token[order], context[order]
-        bounds = np.concatenate([np.searchsorted(token, at), [len(token)]]).astype(np.int32)
-    else:
-        context, bounds = np.zeros(0, np.uint64), np.zeros(len(at) + 1, np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(signed(context)))
-    plus, times = v["plus"][at] + v["times"][at] * model.first(np.zeros(len(at)), v["spelt"][at]), v["times"][at] * model.slope()
-    columns = [pa.array(signed(ids[at])), pa.array(v["count"][at]), pa.array(plus), pa.array(times), lists]
+def _lists(at: np.ndarray, found: list[tuple], kind: pa.StructType) -> pa.Array:
+    """For each of the tokens ``at`` the list of what is found for it, in the order found."""
+    found = [x for x in found if len(x[0])] or [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, kind.field(1).type.to_pandas_dtype()))]
+    token, *columns = [np.concatenate(c) for c in zip(*found)]
+    order = np.argsort(token, kind="stable")
+    bounds = np.append(np.searchsorted(token[order], at), len(token)).astype(np.int32)
+    values = [pa.array(c[order] if c.dtype == np.float64 else signed(c[order])) for c in columns]
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(values, fields=list(kind)))
+
+
+def _open(model: Model, ids: np.ndarray, v: dict, value: np.ndarray, at: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
+    rare = np.flatnonzero(v["count"] < 0)
+    terms = _lists(at, [(rare, ids[rare], v["times"][rare] * model.slope()), *v["doubt"]], TERM)
+    columns = [pa.array(v["count"][at] < 0), pa.array(value[at]), terms, _lists(at, v["unheld"], STEPS)]
     rows = pa.StructArray.from_arrays(columns, fields=list(OPEN))
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(document[at], np.arange(n + 1)).astype(np.int32)), rows)
 
 
-def _resolved(first: DataFrame, counts: DataFrame, states: DataFrame, entries: DataFrame, h: Held) -> DataFrame:
+def _resolved(first: DataFrame, rare: DataFrame, states: DataFrame, entries: DataFrame, h: Held) -> DataFrame:
     """(row, more_known, more_base, more_score) of the tokens that wait for tables.
 
-    Those that wait for their count alone are summed at once. The others go to their contexts with all they need, and meet
-    again by document.
+    Those that wait for one count are summed at once. The terms and contexts of the others go to their tables alone and meet again by token.
     """
-    words = counts.filter(F.col("n") < h.least).select(F.col("key").alias("w"), F.col("n").alias("c"))
     tokens = first.select("row", F.posexplode("open").alias("at", "t")).select("row", "at", "t.*")
+    values = rare.select(F.col("key").alias("k"), "value")
+    alone = (F.size("terms") == 1) & (F.size("contexts") == 0)
 
-    def counted(some: DataFrame) -> DataFrame:
-        found = some.join(words, F.col("word") == F.col("w"), "left")
-        return found.withColumn("count", F.coalesce("c", F.lit(0).cast("long"))).drop("w", "c")
+    def looked_up(some: DataFrame) -> DataFrame:
+        return some.join(values, F.col("key") == F.col("k"), "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
     def summed(some: DataFrame) -> DataFrame:
         return some.groupBy("row").agg(
             F.count(F.when(F.col("count") > 0, 1)).alias("more_known"), F.sum(F.log10((F.col("count") + 1.0) / F.lit(h.total + h.distinct + 1.0))).alias("more_base"),
-            F.sum(F.log10(F.col("plus") + F.col("times") * F.col("count"))).alias("more_score"),
+            F.sum(F.log10("p")).alias("more_score"),
         )
 
-    rare = summed(counted(tokens.filter(F.size("contexts") == 0).drop("at", "contexts")))
-    if h.whole:         # then no token waits for a context
-        return rare
-    waiting = tokens.filter(F.size("contexts") > 0)
-    known = waiting.filter("count >= 0").unionByName(counted(waiting.filter("count < 0")))
-    links = known.select("row", "at", "word", "count", "plus", "times", F.posexplode("contexts").alias("level", "context"))
-    own = states.select(F.col("context").alias("s"), "rest", "total")
-    next_ = entries.select(F.col("context").alias("ec"), F.col("word").alias("ew"), F.col("n").alias("en"))
-    met = links.join(own, F.col("context") == F.col("s"), "left").join(next_, (F.col("context") == F.col("ec")) & (F.col("word") == F.col("ew")), "left")
-    step = F.when(F.col("total").isNotNull(), F.struct("level", (F.coalesce("en", F.lit(0)) / F.col("total")).alias("share"), (F.col("rest") / F.col("total")).alias("rest")))
-    begin = F.struct(F.col("plus").alias("plus"), F.col("times").alias("times"))
-    folded = F.aggregate(
-        "steps", begin, lambda v, s: F.struct((s.share + s.rest * v.plus).alias("plus"), (s.rest * v.times).alias("times")),
+    own = F.col("plus") + F.col("factor") * F.col("value")
+    one = looked_up(tokens.filter(alone).select("row", "rare", "plus", F.col("terms")[0].alias("t")).select("row", "rare", "plus", "t.*"))
+    ones = summed(one.select("row", F.when(F.col("rare"), F.col("value")).alias("count"), own.alias("p")))
+    more = tokens.filter(~alone)
+    terms = looked_up(more.select("row", "at", "rare", F.posexplode("terms").alias("k0", "t")).select("row", "at", "rare", "k0", "t.*"))
+    steps = more.select("row", "at", F.posexplode("contexts").alias("level", "c")).select("row", "at", "level", "c.*")
+    state = states.filter(F.col("places") < h.places).select(F.col("context").alias("s"), "rest", "total")
+    next_ = entries.filter(F.col("places") < h.places).select(F.col("whole").alias("w"), "n")
+    met = steps.join(state, F.col("context") == F.col("s")).join(next_, F.col("run") == F.col("w"), "left")
+    step = F.struct("level", (F.coalesce("n", F.lit(0)) / F.col("total")).alias("share"), (F.col("rest") / F.col("total")).alias("rest"))
+    none = F.lit(None)
+    parts = more.select("row", "at", "plus", none.cast("double").alias("count"), none.cast("struct<level:int,share:double,rest:double>").alias("step")).unionByName(
+        terms.select("row", "at", (F.col("factor") * F.col("value")).alias("plus"), F.when(F.col("rare") & (F.col("k0") == 0), F.col("value")).alias("count"), none.alias("step"))
+    ).unionByName(met.select("row", "at", F.lit(0.0).alias("plus"), none.alias("count"), step.alias("step")))
+    folded = F.aggregate("steps", F.col("plus"), lambda p, x: x.share + x.rest * p)
+    by_token = parts.repartition("row").groupBy("row", "at").agg(
+        F.sum("plus").alias("plus"), F.max("count").alias("count"), F.sort_array(F.collect_list("step")).alias("steps")
     )
-    by_token = met.select("row", "at", "count", "plus", "times", step.alias("step")).repartition("row").groupBy("row", "at").agg(
-        *[F.first(c).alias(c) for c in ("count", "plus", "times")], F.sort_array(F.collect_list("step")).alias("steps")
-    ).withColumn("v", folded)
-    both = rare.unionByName(summed(by_token.select("row", "count", "v.plus", "v.times")))
+    both = ones.unionByName(summed(by_token.select("row", "count", folded.alias("p"))))
     return both.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("more_known", "more_base", "more_score")])
 
 
@@ -574,7 +599,7 @@ def score(
     states, entries = tree(learnt, counts, depth, least, diverge)
     h = held(counts, states, entries, depth, tokens, most)
     first = materialize(given.mapInArrow(_score(given.sparkSession.sparkContext.broadcast(h)), SCORED), "scored")
-    more = _resolved(first, counts, states, entries, h)
+    more = _resolved(first, _rare(counts, entries, h.least, h.said), states, entries, h)
     return first.drop("open").join(more, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(h.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),

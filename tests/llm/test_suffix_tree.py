@@ -205,3 +205,25 @@ def test_better_than_without_contexts_on_held_out(spark):
     whole, flat = scored(held, training), scored(held, training, diverge=1e18)
     gains = [whole[k].score - flat[k].score for k in whole]
     assert sum(gains) > 0 and np.mean([g >= 0 for g in gains]) > 0.6
+
+
+def test_contexts_do_not_wait_for_rare_next_tokens(corpus):
+    """Contexts are held by their places, next tokens by their own counts: a few wide contexts do not fill what a task holds."""
+    texts, df, training, plain = corpus
+    learnt = training.select("text")
+    counts = st.count(learnt)
+    states, entries = st.tree(learnt, counts)
+    most = states.count() + 5
+    assert most < entries.count() == sum(len(own) for own, _, _ in plain.kept.values())
+    h = st.held(counts, states, entries, st.DEPTH, most=most)
+    assert h.whole and len(h.contexts) == len(plain.kept)
+    assert 0 < len(h.runs) <= most and h.said == min(n for own, _, _ in plain.kept.values() for n in own.values() if n >= h.said)
+    got = scored(df, training, most=most)
+    assert all(math.isclose(got[k].score, plain.score(text), rel_tol=1e-6, abs_tol=1e-6) for k, text in enumerate(texts))
+
+
+def test_threshold(spark):
+    counts = spark.range(1, 101).withColumnRenamed("id", "n")
+    assert st.threshold(counts, "n", 10) == 91 and st.threshold(counts, "n", 100) == 1
+    wide = spark.range(8000, 8200).withColumnRenamed("id", "n")
+    assert st.threshold(wide, "n", 7) == 1 << 62 and st.threshold(wide, "n", 10) == 8192 and st.threshold(wide, "n", 200) == 4096

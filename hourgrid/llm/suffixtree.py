@@ -13,14 +13,15 @@ a text. The model is a true distribution: over all texts its probabilities sum t
    and never exploded to all lengths.
 3. A context gives its tokens their counts, and the rest (the occurrences below ``REPEAT``, and one for each kept token) to
    the distribution of its suffix. Without context a token has its count, and as many places as there are distinct tokens
-   go to its spelling: bytes after the last ``SPELL`` or fewer of the word, at most ``CODES`` of such runs held, smoothed down to an even
+   go to its spelling: bytes after the last ``SPELL`` or fewer of the word, smoothed down to an even
    share. So an unknown word has the probability of its spelling among the unknown, not a fixed one.
 4. A token's probability comes from the longest suffix of its past that the tree holds, smoothed along its shorter ones.
 
 A task holds the most frequent tokens, contexts and next tokens: by thresholds as many as fit ``TOKENS`` tokens, ``STATES`` contexts and ``STATES``
 next tokens, counted before the broadcast. Which others there are it knows from bit maps; tokens that need them go out as rows, are joined to the written
 tables, and are summed by document. In held contexts a probability is linear in the counts that are not held, so such a row has a factor for each of them
-and most rows meet one table once. Both ways give the same values.
+and most rows meet one table once. If there are more than ``CODES`` codes of spelling, a task holds the values of the most frequent ones; distinct words
+with others are spelled from the written codes, all of them. Both ways give the same values.
 
 Defined results: a null text is empty (the end alone); a null id counts as the empty text for
 the fold and stays null; repeated rows give repeated rows; without training documents N and V
@@ -122,6 +123,44 @@ def spelled(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 END_CODE = np.array([sum(LAST << (8 * k) for k in range(SPELL + 1))], np.uint64)
 
 
+def code_values(codes: DataFrame) -> DataFrame:
+    """(key, n, value): log10 probabilities of (key, n), distinct codes, as ``Speller`` has them from all codes; a code with n = 0 is only asked for.
+
+    A level for each length, from the shortest: a code meets its own without the first byte, of at most 256 that share it.
+    """
+    byte = lambda k: F.shiftrightunsigned("key", 8 * k).bitwiseAND(F.lit(255))
+    below = None
+    for length in range(SPELL + 1):
+        some = codes if length else codes.filter(byte(1) != LAST)
+        level = some.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * length + 8)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
+        own = Window.partitionBy(F.shiftrightunsigned("key", 8))
+        level = level.withColumn("kinds", F.count(F.when(F.col("n") > 0, 1)).over(own)).withColumn("said", F.sum("n").over(own))
+        even = F.lit(1.0 / SYMBOLS)
+        if below is None:
+            level = level.withColumn("lower", even)
+        else:
+            shorter = below.select(F.col("key").alias("k"), F.col("p").alias("lower"))
+            level = level.join(shorter, F.col("key").bitwiseAND(F.lit((1 << (8 * length)) - 1)) == F.col("k"), "left")
+            if length == 1:
+                level = level.withColumn("lower", F.when(byte(1) == LAST, even).otherwise(F.col("lower")))
+        here = F.col("kinds") > 0
+        if length > 1:
+            here &= byte(length - 1) != LAST
+        p = F.when(here, (F.col("n") + F.col("kinds") * F.col("lower")) / (F.col("said") + F.col("kinds"))).otherwise(F.col("lower"))
+        below = level.select("key", "n", p.alias("p"))
+    return below.select("key", "n", F.log10("p").alias("value"))
+
+
+class Listed:
+    """log10 probabilities of the codes held, NaN for others."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.place, self.value = Lookup(mix(codes)), np.append(values, np.nan)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        return self.value[self.place(mix(codes))]
+
+
 class Speller:
     """log10 probabilities of codes, with a table of those met before (a worker keeps it).
 
@@ -216,22 +255,46 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from give()
 
 
+def _codes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of words (binary; null: the end), each word's place in them (those that are not null), and which are null."""
+    words = words.cast(pa.large_binary())
+    end = words.is_null().to_numpy(zero_copy_only=False)
+    solid = words.drop_null()
+    _, offsets, data = solid.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[solid.offset: solid.offset + len(solid) + 1]
+    lower = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return *spelled(lower, offsets[:-1], offsets[1:]), end
+
+
 def _spell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spelling codes of distinct words, each as often as its word."""
     for batch in rows:
         n = batch.column(1).to_numpy()
-        words = batch.column(0).cast(pa.large_binary())
-        end = words.is_null().to_numpy(zero_copy_only=False)
-        solid = words.drop_null()
-        _, offsets, data = solid.buffers()
-        offsets = np.frombuffer(offsets, np.int64)[solid.offset: solid.offset + len(solid) + 1]
-        lower = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        codes, begin = spelled(lower, offsets[:-1], offsets[1:])
+        codes, begin, end = _codes_of(batch.column(0))
         distinct, inverse = np.unique(np.append(codes, END_CODE), return_inverse=True)
         weight = np.append(np.repeat(n[~end], np.diff(begin)), n[end].sum())
         yield pa.RecordBatch.from_arrays([pa.array(signed(distinct)), pa.array(np.bincount(inverse, weight, len(distinct)).astype(np.int64))], names=["key", "n"])
 
 
+def _spell_apart(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, key): the codes of each word."""
+    for batch in rows:
+        codes, begin, end = _codes_of(batch.column(1))
+        ids = batch.column(0).to_numpy()
+        words = np.append(np.repeat(ids[~end], np.diff(begin)), ids[end])
+        codes = np.append(codes, np.repeat(END_CODE, end.sum()))
+        for k in range(0, len(codes), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(words[k: k + (1 << 16)]), pa.array(signed(codes[k: k + (1 << 16)]))], names=["word", "key"])
+
+
+def spellings(words: DataFrame, codes: DataFrame) -> DataFrame:
+    """(word, spelt): log10 spellings of words (word: an id, text) from the counts of all codes."""
+    apart = words.mapInArrow(_spell_apart, "word long, key long")
+    asked = codes.select("key", "n").unionByName(apart.select("key", F.lit(0).cast("long").alias("n"))).groupBy("key").agg(F.sum("n").alias("n"))
+    value = code_values(asked).select(F.col("key").alias("k"), "value")
+    return apart.join(value, F.col("key") == F.col("k")).groupBy("word").agg(F.sum("value").alias("spelt"))
+
+
 def count(documents: DataFrame) -> DataFrame:
     """(key, word, n) of the distinct tokens; a written table. The end has no word."""
     found = documents.select("text").mapInArrow(_count, "key long, word binary, n long")
@@ -368,6 +431,7 @@ class Held:
     codes: np.ndarray
     code_counts: np.ndarray
     code_totals: np.ndarray         # of all codes with the same front
+    code_values: np.ndarray | None  # log10 probabilities, if not all codes are here
     total: int
     distinct: int
     depth: int
@@ -383,15 +447,20 @@ def _rare(counts: DataFrame, entries: DataFrame, least: int, said: int) -> DataF
     return words.unionByName(entries.filter(F.col("n") < said).select(F.col("whole").alias("key"), value))
 
 
-def held(counts: DataFrame, states: DataFrame, entries: DataFrame, depth: int, tokens: int = TOKENS, most: int = STATES) -> Held:
+def held(counts: DataFrame, states: DataFrame, entries: DataFrame, depth: int, tokens: int = TOKENS, most: int = STATES, codes: DataFrame | None = None) -> Held:
     words = counts.select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least, places, said = threshold(words, "n", tokens), threshold(states, "places", most), threshold(entries, "n", most)
     top = words.filter(F.col("n") >= least).toArrow()
     rare = _rare(counts, entries, least, said)
-    codes = spelling(counts).withColumn("front", F.shiftrightunsigned("key", 8))
+    codes = (spelling(counts) if codes is None else codes).withColumn("front", F.shiftrightunsigned("key", 8))
+    frequent = threshold(codes, "n", CODES)
+    part = codes.filter(F.col("n") < frequent).limit(1).count() > 0
     fronts = codes.groupBy(F.col("front").alias("f")).agg(F.sum("n").alias("whole"))
-    spelt = codes.filter(F.col("n") >= threshold(codes, "n", CODES)).join(fronts, F.col("front") == F.col("f")).select("key", "n", "whole").toArrow()
+    spelt = codes.filter(F.col("n") >= frequent).join(fronts, F.col("front") == F.col("f")).select("key", "n", "whole")
+    if part:
+        spelt = spelt.join(code_values(codes.select("key", "n")).select(F.col("key").alias("k"), "value"), F.col("key") == F.col("k")).drop("k")
+    spelt = spelt.toArrow()
     own = states.filter(F.col("places") >= places).select("context", (F.col("rest") / F.col("total")).alias("rest"), "total").toArrow()
     kept = entries.filter(F.col("n") >= said).select("whole", (F.col("n") / F.col("total")).alias("share")).toArrow()
     as_ids = lambda t, c: t.column(c).to_numpy().view(np.uint64)
@@ -399,7 +468,8 @@ def held(counts: DataFrame, states: DataFrame, entries: DataFrame, depth: int, t
         as_ids(top, "key"), top.column("n").to_numpy(), _maps(rare) if rare.limit(1).count() else None,
         as_ids(own, "context"), own.column("rest").to_numpy(), own.column("total").to_numpy(), as_ids(kept, "whole"), kept.column("share").to_numpy(),
         _maps(states.select(F.col("context").alias("key"))), states.filter(F.col("places") < places).limit(1).count() == 0,
-        as_ids(spelt, "key"), spelt.column("n").to_numpy(), spelt.column("whole").to_numpy(), int(total), int(distinct), depth, least, places, said,
+        as_ids(spelt, "key"), spelt.column("n").to_numpy(), spelt.column("whole").to_numpy(),
+        spelt.column("value").to_numpy() if part else None, int(total), int(distinct), depth, least, places, said,
     )
 
 
@@ -410,11 +480,11 @@ class Model:
         self.held = h
         self.token, self.context, self.run = Lookup(h.tokens), Lookup(h.contexts), Lookup(h.runs)
         self.counts, self.shares = np.append(h.counts, 0), np.append(h.shares, 0.0)
-        self.speller = Speller(h.codes, h.code_counts, h.code_totals)
+        self.speller = Speller(h.codes, h.code_counts, h.code_totals) if h.code_values is None else Listed(h.codes, h.code_values)
         self.word, self.spelt = np.zeros(1 << WORD_BITS, np.uint64), np.zeros(1 << WORD_BITS)
 
     def spellings(self, ids: np.ndarray, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log10 spellings of distinct words; those met before come from a table."""
+        """log10 spellings of distinct words, NaN if a code is not held; those met before come from a table."""
         place = ids >> np.uint64(64 - WORD_BITS)
         out = self.spelt[place]
         new = np.flatnonzero(self.word[place] != ids)
@@ -430,6 +500,22 @@ class Model:
         """Probability of tokens without context, from their counts and log10 spellings."""
         return first_share(count, spelt, self.held.total, self.held.distinct)
 
+    def unspelt(self, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, place: np.ndarray, spelt: np.ndarray, asked: set[int]) -> list[dict]:
+        """Words with codes that are not held, unless the task has given them on lately."""
+        if len(asked) > HELD:
+            asked.clear()
+        end = place[1:] - 1
+        inner = np.setdiff1d(np.flatnonzero(np.isnan(spelt)), end)
+        words, first = np.unique(ids[inner], return_index=True)
+        at = inner[first] - np.searchsorted(end, inner[first])      # without the ends before
+        texts_ = [bytes(lower[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        found = list(zip(signed(spell_key(words)).tolist(), texts_))
+        if len(end) and np.isnan(spelt[end[0]]):
+            found.append((int(signed(spell_key(np.array([END_HASH])))[0]), None))
+        found = [x for x in found if x[0] not in asked]
+        asked.update(x[0] for x in found)
+        return [{"key": k, "text": text} for k, text in found]
+
     def slope(self) -> float:
         """What one occurrence adds to the probability without context."""
         return 1.0 / (self.held.total + self.held.distinct) if self.held.total else 0.0
@@ -477,6 +563,11 @@ class Model:
         return {"count": per_token, "spelt": spelt, "plus": plus, "times": times, "doubt": doubt, "unheld": unheld}
 
 
+def spell_key(ids: np.ndarray) -> np.ndarray:
+    """Key of the spelling of words, beside that of their counts."""
+    return mix(ids + STEP)
+
+
 def first_share(count, spelt, total: int, distinct: int):
     if not total:
         return 10.0**spelt
@@ -484,15 +575,17 @@ def first_share(count, spelt, total: int, distinct: int):
 
 
 _MODELS: dict[int, Model] = {}
-#: A token whose probability in its held contexts is plus and the terms' factors times what ``_rare`` has for their keys; then come the contexts that
-#: are not held, short ones first. Of a rare token the first term is its own count.
+#: A token whose probability in its held contexts is plus and the terms' factors times what ``_rare`` (or ``spellings``) has for their keys; then come the
+#: contexts that are not held, short ones first. Of a rare token the first term is its own count.
 TERM = pa.struct([("key", pa.int64()), ("factor", pa.float64())])
 STEPS = pa.struct([("context", pa.int64()), ("run", pa.int64())])
 OPEN = pa.struct([("rare", pa.bool_()), ("plus", pa.float64()), ("terms", pa.list_(TERM)), ("contexts", pa.list_(STEPS))])
 SCORED = (
     "row long, doc_id long, n_tokens long, known long, base double, score double, "
-    "open array<struct<rare:boolean,plus:double,terms:array<struct<key:long,factor:double>>,contexts:array<struct<context:long,run:long>>>>"
+    "open array<struct<rare:boolean,plus:double,terms:array<struct<key:long,factor:double>>,contexts:array<struct<context:long,run:long>>>>, "
+    "unspelt array<struct<key:long,text:binary>>"
 )
+UNSPELT = pa.list_(pa.struct([("key", pa.int64()), ("text", pa.binary())]))
 
 
 def _score(held_b):
@@ -505,24 +598,28 @@ def _score(held_b):
             _MODELS[id(h)] = Model(h)
         model = _MODELS[id(h)]
         number = TaskContext.get().partitionId() << 36
+        asked: set[int] = set()
         for batch in batches(rows):
             for i, lower, starts, ends, ids, place in tokens_of(batch.column(1)):
                 n = len(place) - 1
                 document = np.repeat(np.arange(n), np.diff(place))
                 v = model.slab(lower, starts, ends, ids, place)
                 rare = v["count"] < 0
-                waits = rare.copy()
+                unspelt = np.isnan(v["spelt"])
+                waits = rare | unspelt
                 for at, *_ in (*v["doubt"], *v["unheld"]):
                     waits[at] = True
                 counted = np.where(rare, 0, v["count"])
-                value = v["plus"] + v["times"] * model.first(counted, v["spelt"])
+                value = v["plus"] + v["times"] * np.where(unspelt, model.slope() * counted, model.first(counted, v["spelt"]))
+                words = model.unspelt(lower, starts, ends, ids, place, v["spelt"], asked) if unspelt.any() else []
                 base = np.log10((counted + 1.0) / (h.total + h.distinct + 1.0))
                 sums = [np.bincount(document, weight, n).astype(np.float64) for weight in (counted > 0, np.where(rare, 0.0, base))]
                 sums.append(np.bincount(document[~waits], np.log10(value[~waits]), n).astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(number + np.arange(n)), batch.column(0).slice(i, n), pa.array(np.diff(place)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, value, np.flatnonzero(waits), document, n)],
-                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "open"],
+                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, value, np.flatnonzero(waits), document, n),
+                     pa.array([words] + [None] * (n - 1), UNSPELT)],
+                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "open", "unspelt"],
                 )
                 number += n
 
@@ -540,8 +637,9 @@ def _lists(at: np.ndarray, found: list[tuple], kind: pa.StructType) -> pa.Array:
 
 
 def _open(model: Model, ids: np.ndarray, v: dict, value: np.ndarray, at: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
-    rare = np.flatnonzero(v["count"] < 0)
-    terms = _lists(at, [(rare, ids[rare], v["times"][rare] * model.slope()), *v["doubt"]], TERM)
+    rare, unspelt = np.flatnonzero(v["count"] < 0), np.flatnonzero(np.isnan(v["spelt"]))
+    factor = v["times"] * model.slope()
+    terms = _lists(at, [(rare, ids[rare], factor[rare]), (unspelt, spell_key(ids[unspelt]), factor[unspelt]), *v["doubt"]], TERM)
     columns = [pa.array(v["count"][at] < 0), pa.array(value[at]), terms, _lists(at, v["unheld"], STEPS)]
     rows = pa.StructArray.from_arrays(columns, fields=list(OPEN))
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(document[at], np.arange(n + 1)).astype(np.int32)), rows)
@@ -597,10 +695,16 @@ def score(
     learnt = texts(training, id_col, text_col)
     counts = count(learnt)
     states, entries = tree(learnt, counts, depth, least, diverge)
-    h = held(counts, states, entries, depth, tokens, most)
+    codes = spelling(counts)
+    h = held(counts, states, entries, depth, tokens, most, codes)
     first = materialize(given.mapInArrow(_score(given.sparkSession.sparkContext.broadcast(h)), SCORED), "scored")
-    more = _resolved(first, _rare(counts, entries, h.least, h.said), states, entries, h)
-    return first.drop("open").join(more, "row", "left").select(
+    values = _rare(counts, entries, h.least, h.said)
+    if h.code_values is not None:
+        words = first.select(F.explode("unspelt").alias("u")).groupBy(F.col("u.key").alias("word")).agg(F.min("u.text").alias("text"))
+        spelt = spellings(materialize(words, "words"), codes)
+        values = values.unionByName(spelt.select(F.col("word").alias("key"), (h.distinct * F.pow(F.lit(10.0), F.col("spelt"))).alias("value")))
+    more = _resolved(first, values, states, entries, h)
+    return first.drop("open", "unspelt").join(more, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(h.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

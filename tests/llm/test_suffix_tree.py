@@ -227,3 +227,21 @@ def test_threshold(spark):
     assert st.threshold(counts, "n", 10) == 91 and st.threshold(counts, "n", 100) == 1
     wide = spark.range(8000, 8200).withColumnRenamed("id", "n")
     assert st.threshold(wide, "n", 7) == 1 << 62 and st.threshold(wide, "n", 10) == 8192 and st.threshold(wide, "n", 200) == 4096
+
+
+def test_codes_that_are_not_held(corpus, spark, monkeypatch):
+    """Scores do not depend on how many codes of the spelling a task holds, also of unknown words and of ends."""
+    _, _, training, plain = corpus
+    texts = ["w1 w2 qqzzx", "", "w7 \xe9 \xe9t\xe9 the", "plague-w9 w299 w299", "xylophone qqzzx to market now"]
+    df = spark.createDataFrame(rows_of(texts), "doc_id long, text string")
+    counts = st.count(training.select("text"))
+    codes = st.spelling(counts)
+    value = {r.key & (1 << 40) - 1: r for r in st.code_values(codes).collect()}
+    speller = st.Speller(*[np.array(c) for c in zip(*[(np.uint64(k), r.n, r.n) for k, r in value.items()])])
+    keys = np.array(list(value), np.uint64)
+    assert np.allclose(np.log10(speller.probability(keys)), [r.value for r in value.values()], rtol=1e-12)
+    for most in (60, 0):
+        monkeypatch.setattr(st, "CODES", most)
+        got = scored(df, training)
+        for k, text in enumerate(texts):
+            assert math.isclose(got[k].score, plain.score(text), rel_tol=1e-9, abs_tol=1e-9), (most, text)

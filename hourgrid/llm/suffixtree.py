@@ -162,7 +162,7 @@ class Listed:
 
 
 class Speller:
-    """log10 probabilities of codes, with a table of those met before (a worker keeps it).
+    """log10 probabilities of codes, with a table of those met before.
 
     Each context gives its bytes their counts, and what is left (of codes that are not held, and one a byte) to the next shorter
     one. At the start of a word the shortest is that of the start, inside it is none; then all ``SYMBOLS`` have an even share.
@@ -474,7 +474,7 @@ def held(counts: DataFrame, states: DataFrame, entries: DataFrame, depth: int, t
 
 
 class Model:
-    """The held part, set up for look-ups; a worker keeps it."""
+    """The held part, set up for look-ups."""
 
     def __init__(self, h: Held):
         self.held = h
@@ -574,7 +574,6 @@ def first_share(count, spelt, total: int, distinct: int):
     return (count + distinct * 10.0**spelt) / (total + distinct)
 
 
-_MODELS: dict[int, Model] = {}
 #: A token whose probability in its held contexts is plus and the terms' factors times what ``_rare`` (or ``spellings``) has for their keys; then come the
 #: contexts that are not held, short ones first. Of a rare token the first term is its own count.
 TERM = pa.struct([("key", pa.int64()), ("factor", pa.float64())])
@@ -593,10 +592,7 @@ def _score(held_b):
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = held_b.value
-        if id(h) not in _MODELS:
-            _MODELS.clear()
-            _MODELS[id(h)] = Model(h)
-        model = _MODELS[id(h)]
+        model = Model(h)        # not kept: idle workers would hold it beside the joins that follow
         number = TaskContext.get().partitionId() << 36
         asked: set[int] = set()
         for batch in batches(rows):
@@ -697,11 +693,13 @@ def score(
     states, entries = tree(learnt, counts, depth, least, diverge)
     codes = spelling(counts)
     h = held(counts, states, entries, depth, tokens, most, codes)
-    first = materialize(given.mapInArrow(_score(given.sparkSession.sparkContext.broadcast(h)), SCORED), "scored")
+    sent = given.sparkSession.sparkContext.broadcast(h)
+    first = materialize(given.mapInArrow(_score(sent), SCORED), "scored")
+    sent.destroy()
     values = _rare(counts, entries, h.least, h.said)
     if h.code_values is not None:
         words = first.select(F.explode("unspelt").alias("u")).groupBy(F.col("u.key").alias("word")).agg(F.min("u.text").alias("text"))
-        spelt = spellings(materialize(words, "words"), codes)
+        spelt = materialize(spellings(materialize(words, "words"), codes), "spellings")
         values = values.unionByName(spelt.select(F.col("word").alias("key"), (h.distinct * F.pow(F.lit(10.0), F.col("spelt"))).alias("value")))
     more = _resolved(first, values, states, entries, h)
     return first.drop("open", "unspelt").join(more, "row", "left").select(

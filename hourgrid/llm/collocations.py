@@ -38,6 +38,7 @@ from hourgrid.session import materialize
 LEAST, WORDS, TOP, COVER = 10, 3, 2000, 50
 BURST = 1 << 16             # entries of a container
 HELD = 2_500_000            # entries of a task's trie
+PIECES = 4                  # runs that a full trie is given in at the end, at least
 CHUNK = 8192                # entries of a stored piece of a run
 MERGED = 1_000_000          # entries that a merging task gathers before it sums
 FILTER_BITS = 1 << 27
@@ -184,19 +185,35 @@ class HatTrie:
                 leaf.sum()
             while len(self.root) > self.held // 2:
                 k = max(range(len(self.root.children)), key=lambda j: len(self.root.children[j]))
-                yield self._run(self.root.children[k])
-                self.root.children[k] = Container(self.depth)
+                subtree, self.root.children[k] = self.root.children[k], Container(self.depth)
+                yield self._run(subtree)
 
     def rest(self) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-        if len(self.root):
-            yield self._run(self.root)
-        self.root = Node(0, self.depth, Container(self.depth))
-
-    def _run(self, subtree) -> tuple[list[np.ndarray], np.ndarray]:
-        leaves = list(subtree.leaves())
+        """All that is held, as runs of whole subtrees of about ``held // PIECES`` entries: little is there twice."""
+        left, self.root = self.root.children, Node(0, self.depth, Container(self.depth))
+        while left:
+            some = [left.pop()]
+            size = len(some[0])
+            while left and size + len(left[-1]) <= self.held // PIECES:
+                some.append(left.pop())
+                size += len(some[-1])
+            if size:
+                yield self._run(*some)
+
+    def _run(self, *subtrees) -> tuple[list[np.ndarray], np.ndarray]:
+        """The entries of subtrees, which are emptied column by column."""
+        leaves = [leaf for subtree in subtrees for leaf in subtree.leaves()]
         for leaf in leaves:
             leaf.sum()
-        return [np.concatenate([x.columns[k] for x in leaves]) for k in range(self.depth)], np.concatenate([x.counts for x in leaves])
+        columns = []
+        for k in range(self.depth):
+            columns.append(np.concatenate([x.columns[k] for x in leaves]))
+            for x in leaves:
+                x.columns[k] = columns[k][:0].copy()
+        counts = np.concatenate([x.counts for x in leaves])
+        for x in leaves:
+            x.counts = counts[:0].copy()
+        return columns, counts
 
 
 # --- texts --------------------------------------------------------------------------
@@ -299,14 +316,14 @@ def chunks(run: tuple[list[np.ndarray], np.ndarray], part_bits: int) -> Iterator
     columns, counts = run
     key = prefix_hash(columns)
     order = np.argsort(key)
-    key, counts, columns = key[order], counts[order], [c[order] for c in columns]
+    key = key[order]
     part = (key >> np.uint64(64 - part_bits)).astype(np.int64)
     cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
     edges = np.concatenate([[0], cuts, [len(key)]])
     bounds = [(k, min(k + CHUNK, b)) for a, b in zip(edges.tolist(), edges[1:].tolist()) for k in range(a, b, CHUNK)]
     for at in range(0, len(bounds), 512):
         some = bounds[at: at + 512]
-        packed = [codec.compress(b"".join([*[c[a:b].tobytes() for c in columns], counts[a:b].tobytes()]), asbytes=True) for a, b in some]
+        packed = [codec.compress(b"".join([c[order[a:b]].tobytes() for c in (*columns, counts)]), asbytes=True) for a, b in some]
         first = [a for a, _ in some]
         yield pa.RecordBatch.from_arrays(
             [pa.array(part[first].astype(np.int32)), pa.array(_order(key[first])), pa.array([b - a for a, b in some], pa.int32()), pa.array(packed, pa.binary())],

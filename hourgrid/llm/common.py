@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -184,7 +185,7 @@ class Lookup:
     """Places of 64-bit hashes in an array of distinct ones, -1 for others: two slots each, a sorted list for the few that miss both."""
 
     def __init__(self, keys: np.ndarray):
-        self.keys = np.append(keys, np.uint64(0))       # place -1 reads the last entry
+        self.keys = keys if len(keys) else np.zeros(1, np.uint64)       # place -1 reads the last entry, and stays -1
         self.bits = max(8, int(len(keys)).bit_length() + 1)
         self.slots = np.full((2, 1 << self.bits), -1, np.int32)
         left = np.arange(len(keys), dtype=np.int32)
@@ -234,3 +235,18 @@ def batches(rows: Iterator[pa.RecordBatch], limit: int = 2048) -> Iterator[pa.Re
     for batch in rows:
         for k in range(0, batch.num_rows, limit):
             yield batch.slice(k, limit)
+
+
+def trimmed(work: Callable) -> Callable:
+    """The same work on batches. What it has freed goes back to the system at its end: idle workers would keep it beside the stages that follow."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(rows)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc
+            if trim is not None:
+                trim(0)
+
+    return run

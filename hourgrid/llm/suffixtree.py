@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourgrid.llm import collocations
-from hourgrid.llm.common import LOWER, NOT_SPACE, Lookup, batches, bound_batches, crc_mod, mix, runs, signed, slabs, span_hash, texts
+from hourgrid.llm.common import LOWER, NOT_SPACE, Lookup, batches, bound_batches, crc_mod, mix, runs, signed, slabs, span_hash, texts, trimmed
 from hourgrid.session import materialize
 
 DEPTH, LEAST, REPEAT = 3, 32, 4
@@ -56,7 +56,7 @@ HELD = 1 << 19                          # distinct keys a task holds before it g
 BLANK, LAST = 0x20, 0x0A
 SYMBOLS = 256 - 6 + 1                   # bytes of words, and the end of a word (inside) or of a text (at the start)
 WORD_BITS = 19
-SLAB = 1 << 19                          # bytes of text at a time
+SLAB = 1 << 18                          # bytes of text at a time
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -223,35 +223,44 @@ class Speller:
 
 # --- counting -----------------------------------------------------------------------
 
+def _bytes_of(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words, as binary."""
+    begin = np.concatenate([[0], np.cumsum(ends - starts)])
+    at = np.arange(begin[-1]) + np.repeat(starts - begin[:-1], ends - starts)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(begin), pa.py_buffer(lower[at])])
+
+
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct tokens of the task with their bytes (null: the end) and counts."""
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    known: dict[int, bytes] = {}
+    parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+    more = 0                    # entries since the last sum
 
-    def give() -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([p[0] for p in parts])
-        distinct, inverse = np.unique(keys, return_inverse=True)
+    def sum_up() -> None:
+        distinct, first, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
         counts = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(distinct)).astype(np.int64)
-        for k in range(0, len(distinct), 1 << 16):
-            some = distinct[k: k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(some)), pa.array([known.get(x) for x in some.tolist()], pa.binary()), pa.array(counts[k: k + (1 << 16)])], names=["key", "word", "n"]
-            )
+        parts[:] = [(distinct, counts, pa.concat_arrays([p[2] for p in parts]).take(pa.array(first)))]
+
+    def give() -> Iterator[pa.RecordBatch]:
+        (keys, counts, words), = parts
         parts.clear()
-        known.clear()
+        for k in range(0, len(keys), 1 << 16):
+            some = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys[some])), words[some].cast(pa.binary()), pa.array(counts[some])], names=["key", "word", "n"])
 
     for batch in batches(rows):
         for _, lower, starts, ends, ids, place in tokens_of(batch.column(0)):
             words = np.delete(ids, place[1:] - 1)
             distinct, first, counts = np.unique(words, return_index=True, return_counts=True)
-            raw = lower.tobytes()
-            for x, a, b in zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist()):
-                if x not in known:
-                    known[x] = raw[a:b]
-            parts.append((np.append(distinct, END_HASH), np.append(counts, len(place) - 1)))
-        if len(known) > HELD:
-            yield from give()
+            spelt = pa.concat_arrays([_bytes_of(lower, starts[first], ends[first]), pa.nulls(1, pa.large_binary())])
+            parts.append((np.append(distinct, END_HASH), np.append(counts, len(place) - 1), spelt))
+            more += len(distinct)
+            if more > HELD:
+                sum_up()
+                more = 0
+                if len(parts[0][0]) > HELD:
+                    yield from give()
     if parts:
+        sum_up()
         yield from give()
 
 
@@ -289,7 +298,7 @@ def _spell_apart(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spellings(words: DataFrame, codes: DataFrame) -> DataFrame:
     """(word, spelt): log10 spellings of words (word: an id, text) from the counts of all codes."""
-    apart = words.mapInArrow(_spell_apart, "word long, key long")
+    apart = words.mapInArrow(trimmed(_spell_apart), "word long, key long")
     asked = codes.select("key", "n").unionByName(apart.select("key", F.lit(0).cast("long").alias("n"))).groupBy("key").agg(F.sum("n").alias("n"))
     value = code_values(asked).select(F.col("key").alias("k"), "value")
     return apart.join(value, F.col("key") == F.col("k")).groupBy("word").agg(F.sum("value").alias("spelt"))
@@ -297,13 +306,14 @@ def spellings(words: DataFrame, codes: DataFrame) -> DataFrame:
 
 def count(documents: DataFrame) -> DataFrame:
     """(key, word, n) of the distinct tokens; a written table. The end has no word."""
-    found = documents.select("text").mapInArrow(_count, "key long, word binary, n long")
-    return materialize(found.groupBy("key").agg(F.min("word").alias("word"), F.sum("n").alias("n")), "tokens")
+    found = documents.select("text").mapInArrow(trimmed(_count), "key long, word binary, n long")
+    # Few keys of a task are there twice, so they are dealt before they are sorted for their sums.
+    return materialize(found.repartition("key").groupBy("key").agg(F.min("word").alias("word"), F.sum("n").alias("n")), "tokens")
 
 
 def spelling(tokens: DataFrame) -> DataFrame:
     """(key, n): how often each code of ``SPELL + 1`` bytes is spelled; a written table."""
-    return materialize(tokens.select("word", "n").mapInArrow(_spell, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 0"), "codes")
+    return materialize(tokens.select("word", "n").mapInArrow(trimmed(_spell), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 0"), "codes")
 
 
 def _count_runs(size: int, front_b, back_b, part_bits: int):
@@ -370,8 +380,8 @@ def tree(documents: DataFrame, counts: DataFrame, depth: int = DEPTH, least: int
         front = collocations.bit_map(lower.filter(F.col("n") >= least), F.col("whole"))
         back = collocations.bit_map(lower.filter(F.col("n") >= REPEAT), F.col("whole"))
         sent = share(front), share(back)
-        stored = documents.select("text").mapInArrow(_count_runs(size, *sent, collocations.parts(spark)), collocations.RUNS)
-        merged = stored.repartition("part").sortWithinPartitions("low").mapInArrow(_merged(size), RUNS)
+        stored = documents.select("text").mapInArrow(trimmed(_count_runs(size, *sent, collocations.parts(spark))), collocations.RUNS)
+        merged = stored.repartition("part").sortWithinPartitions("low").mapInArrow(trimmed(_merged(size)), RUNS)
         up = lower.filter(F.col("n") >= least).select(F.col("whole").alias("w1"), F.col("n").alias("places"))
         side = lower.filter(F.col("n") >= REPEAT).select(F.col("whole").alias("w2"), F.col("share").alias("q"))
         joined = merged.join(side, F.col("tail") == F.col("w2")).drop("tail", "w2").join(up, F.col("context") == F.col("w1")).drop("w1")
@@ -521,22 +531,24 @@ class Model:
         return 1.0 / (self.held.total + self.held.distinct) if self.held.total else 0.0
 
     def slab(self, lower: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, place: np.ndarray) -> dict:
-        """Of each token: count (-1 if it has to be looked up), log10 spelling, and plus and times of its contexts; also the runs to look up
-        (token, run, factor of its count) and the contexts to look up (token, context, run), by level."""
+        """Of each token: count (-1 if it has to be looked up), log10 spelling, its terms of the base score and of its probability that are known, and what its
+        contexts leave to the one without (times); also the runs to look up (token, run, factor of its count) and the contexts to look up (token, context, run),
+        by level. What depends on the token alone is computed once for each distinct one."""
         h = self.held
         end = np.zeros(len(ids), bool)
         end[place[1:] - 1] = True
-        words = ids[~end]
-        distinct, at, inverse = np.unique(words, return_index=True, return_inverse=True)
-        spelt = np.full(len(ids), self.speller(END_CODE)[0], np.float64)
-        if len(distinct):
-            spelt[~end] = self.spellings(distinct, lower, starts[at], ends[at])[inverse]
-        number = self.token(np.append(distinct, END_HASH))
+        distinct, at, inverse = np.unique(ids[~end], return_index=True, return_inverse=True)
+        kind = np.full(len(ids), len(distinct))
+        kind[~end] = inverse
+        spelt = np.append(self.spellings(distinct, lower, starts[at], ends[at]), self.speller(END_CODE)[0])
+        kinds = np.append(distinct, END_HASH)
+        number = self.token(kinds)
         count = self.counts[number]
         if h.rare is not None:
-            count = np.where((number < 0) & _in(h.rare, np.append(distinct, END_HASH)), -1, count)
-        per_token = np.full(len(ids), count[-1], np.int64)
-        per_token[~end] = count[:-1][inverse]
+            count = np.where((number < 0) & _in(h.rare, kinds), -1, count)
+        counted = np.maximum(count, 0)
+        first = np.where(np.isnan(spelt), self.slope() * counted, self.first(counted, spelt))
+        base = np.where(count < 0, 0.0, np.log10((counted + 1.0) / (h.total + h.distinct + 1.0)))
         plus, times = np.zeros(len(ids)), np.ones(len(ids))
         position = np.arange(len(ids)) - np.repeat(place[:-1], np.diff(place))
         run = ids
@@ -560,7 +572,9 @@ class Model:
                 new = new[_in(h.rare, run[here[new]])]
                 doubt.append((here[new], run[here[new]], 1.0 / h.totals[number[new]] / times[here[new]]))
         doubt = [(at, key, factor * times[at]) for at, key, factor in doubt]
-        return {"count": per_token, "spelt": spelt, "plus": plus, "times": times, "doubt": doubt, "unheld": unheld}
+        return {
+            "count": count[kind], "spelt": spelt[kind], "base": base[kind], "value": plus + times * first[kind], "times": times, "doubt": doubt, "unheld": unheld
+        }
 
 
 def spell_key(ids: np.ndarray) -> np.ndarray:
@@ -605,15 +619,13 @@ def _score(held_b):
                 waits = rare | unspelt
                 for at, *_ in (*v["doubt"], *v["unheld"]):
                     waits[at] = True
-                counted = np.where(rare, 0, v["count"])
-                value = v["plus"] + v["times"] * np.where(unspelt, model.slope() * counted, model.first(counted, v["spelt"]))
+                value = v["value"]
                 words = model.unspelt(lower, starts, ends, ids, place, v["spelt"], asked) if unspelt.any() else []
-                base = np.log10((counted + 1.0) / (h.total + h.distinct + 1.0))
-                sums = [np.bincount(document, weight, n).astype(np.float64) for weight in (counted > 0, np.where(rare, 0.0, base))]
+                sums = [np.bincount(document, weight, n).astype(np.float64) for weight in (v["count"] > 0, v["base"])]
                 sums.append(np.bincount(document[~waits], np.log10(value[~waits]), n).astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(number + np.arange(n)), batch.column(0).slice(i, n), pa.array(np.diff(place)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, value, np.flatnonzero(waits), document, n),
+                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, np.flatnonzero(waits), document, n),
                      pa.array([words] + [None] * (n - 1), UNSPELT)],
                     names=["row", "doc_id", "n_tokens", "known", "base", "score", "open", "unspelt"],
                 )
@@ -632,11 +644,11 @@ def _lists(at: np.ndarray, found: list[tuple], kind: pa.StructType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(values, fields=list(kind)))
 
 
-def _open(model: Model, ids: np.ndarray, v: dict, value: np.ndarray, at: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
+def _open(model: Model, ids: np.ndarray, v: dict, at: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
     rare, unspelt = np.flatnonzero(v["count"] < 0), np.flatnonzero(np.isnan(v["spelt"]))
     factor = v["times"] * model.slope()
     terms = _lists(at, [(rare, ids[rare], factor[rare]), (unspelt, spell_key(ids[unspelt]), factor[unspelt]), *v["doubt"]], TERM)
-    columns = [pa.array(v["count"][at] < 0), pa.array(value[at]), terms, _lists(at, v["unheld"], STEPS)]
+    columns = [pa.array(v["count"][at] < 0), pa.array(v["value"][at]), terms, _lists(at, v["unheld"], STEPS)]
     rows = pa.StructArray.from_arrays(columns, fields=list(OPEN))
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(document[at], np.arange(n + 1)).astype(np.int32)), rows)
 
@@ -694,7 +706,7 @@ def score(
     codes = spelling(counts)
     h = held(counts, states, entries, depth, tokens, most, codes)
     sent = given.sparkSession.sparkContext.broadcast(h)
-    first = materialize(given.mapInArrow(_score(sent), SCORED), "scored")
+    first = materialize(given.mapInArrow(trimmed(_score(sent)), SCORED), "scored")
     sent.destroy()
     values = _rare(counts, entries, h.least, h.said)
     if h.code_values is not None:

@@ -103,6 +103,30 @@ def test_trie_bursts_spills_and_merges(monkeypatch):
     assert found == want and spills and deep
 
 
+def test_a_full_trie_is_given_in_pieces():
+    """A task that has read its texts needs little beside its trie to give the counts on."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    list(co.chunks(([np.ones(2, np.uint64)] * 3, np.ones(2, np.int64)), 8))     # what is imported at the first use does not count
+    tracemalloc.start()
+    try:
+        trie = co.HatTrie(3, held=300_000)
+        for _ in range(6):
+            assert not list(trie.add([rng.integers(0, 1 << 62, 40_000, np.uint64) for _ in range(3)]))
+        full, _ = tracemalloc.get_traced_memory()
+        tracemalloc.reset_peak()
+        found, batch = [], None
+        for run in trie.rest():
+            for batch in co.chunks(run, 8):
+                found.append(sum(batch.column(2).to_pylist()))
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sum(found) == 240_000 and len(trie.root) == 0
+    assert peak < 1.6 * full, peak / full       # 4.5 with all entries in one run, sorted as a whole
+
+
 @pytest.mark.parametrize("held", [200, 10**9])
 def test_small_chunks(spark, monkeypatch, held):
     """Runs of many spills, cut into small chunks and merged in a stream."""

@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ODD
 
 from hourgrid.llm import suffixtree as st
+from hourgrid.llm.common import trimmed
 
 MEDIUM = "/root/testdata/sf0.01"
 ROWS = [(r[0], r[1]) for r in ODD]
 END = "\n"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def tokens_of(text):
@@ -245,3 +251,51 @@ def test_codes_that_are_not_held(corpus, spark, monkeypatch):
         got = scored(df, training)
         for k, text in enumerate(texts):
             assert math.isclose(got[k].score, plain.score(text), rel_tol=1e-9, abs_tol=1e-9), (most, text)
+
+
+@pytest.mark.parametrize("held", [1, 50, 10**9])
+def test_counts_given_on_in_parts(monkeypatch, held):
+    """However little a task holds, each part has a token once, with its bytes, and the sums are those of a dictionary."""
+    monkeypatch.setattr(st, "HELD", held)
+    monkeypatch.setattr(st, "SLAB", 400)
+    texts = [*made(9, 200), "", "A a \xc9t\xe9", None]
+    given = [pa.RecordBatch.from_arrays([pa.array(texts[k: k + 70], pa.string())], names=["text"]) for k in range(0, len(texts), 70)]
+    parts, found = list(st._count(iter(given))), Counter()
+    for part in parts:
+        keys, words, counts = (c.to_pylist() for c in part.columns)
+        assert len(set(keys)) == len(keys) and part.schema.types == [pa.int64(), pa.binary(), pa.int64()]
+        found.update({END if w is None else w.decode(): n for w, n in zip(words, counts)})
+    assert found == Counter(w for text in texts for w in tokens_of(text)) and (len(parts) > 1) == (held < 10**9)
+
+
+def test_lent_memory_goes_back(tmp_path):
+    """A worker that is done keeps little of what its task took, also of many small arrays."""
+    code = """
+import re, sys
+import numpy as np, pyarrow as pa
+from hourgrid.llm.common import trimmed
+rss = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+def work(rows):
+    for batch in rows:
+        held = []
+        for _ in range(4000):
+            held.append(np.ones(1 << 13))
+            keep.append(np.ones(200))           # between them, so that the heap does not shrink by itself
+        yield batch
+keep = []
+before = rss()
+work = trimmed(work) if sys.argv[1] == "trimmed" else work
+assert [b.num_rows for b in work(iter([pa.RecordBatch.from_arrays([pa.array([1, 2])], names=["x"])]))] == [2]
+print(rss() - before)
+"""
+    kept = float(subprocess.run([sys.executable, "-c", code, "trimmed"], capture_output=True, text=True, check=True, cwd=ROOT).stdout)
+    assert kept < 100, kept     # of 250 MB
+
+
+def test_trimmed_passes_errors_on():
+    def work(rows):
+        yield from rows
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        list(trimmed(work)(iter([1, 2])))

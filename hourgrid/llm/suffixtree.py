@@ -589,12 +589,14 @@ def first_share(count, spelt, total: int, distinct: int):
 
 
 #: A token whose probability in its held contexts is plus and the terms' factors times what ``_rare`` (or ``spellings``) has for their keys; then come the
-#: contexts that are not held, short ones first. Of a rare token the first term is its own count.
+#: contexts that are not held, short ones first. Of a rare token the first term is its own count. Tokens with one term and no such contexts, nearly all, lie
+#: apart (``alone``), so that the others are read without them.
 TERM = pa.struct([("key", pa.int64()), ("factor", pa.float64())])
 STEPS = pa.struct([("context", pa.int64()), ("run", pa.int64())])
 OPEN = pa.struct([("rare", pa.bool_()), ("plus", pa.float64()), ("terms", pa.list_(TERM)), ("contexts", pa.list_(STEPS))])
+ALONE = pa.struct([("rare", pa.bool_()), ("plus", pa.float64()), ("key", pa.int64()), ("factor", pa.float64())])
 SCORED = (
-    "row long, doc_id long, n_tokens long, known long, base double, score double, "
+    "row long, doc_id long, n_tokens long, known long, base double, score double, alone array<struct<rare:boolean,plus:double,key:long,factor:double>>, "
     "open array<struct<rare:boolean,plus:double,terms:array<struct<key:long,factor:double>>,contexts:array<struct<context:long,run:long>>>>, "
     "unspelt array<struct<key:long,text:binary>>"
 )
@@ -625,9 +627,9 @@ def _score(held_b):
                 sums.append(np.bincount(document[~waits], np.log10(value[~waits]), n).astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(number + np.arange(n)), batch.column(0).slice(i, n), pa.array(np.diff(place)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1]), pa.array(sums[2]), _open(model, ids, v, np.flatnonzero(waits), document, n),
+                     pa.array(sums[1]), pa.array(sums[2]), *_open(model, ids, v, document, n),
                      pa.array([words] + [None] * (n - 1), UNSPELT)],
-                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "open", "unspelt"],
+                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "alone", "open", "unspelt"],
                 )
                 number += n
 
@@ -644,13 +646,29 @@ def _lists(at: np.ndarray, found: list[tuple], kind: pa.StructType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(values, fields=list(kind)))
 
 
-def _open(model: Model, ids: np.ndarray, v: dict, at: np.ndarray, document: np.ndarray, n: int) -> pa.Array:
+def _open(model: Model, ids: np.ndarray, v: dict, document: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """The tokens of each document that wait for one count alone, and the others that wait."""
     rare, unspelt = np.flatnonzero(v["count"] < 0), np.flatnonzero(np.isnan(v["spelt"]))
     factor = v["times"] * model.slope()
-    terms = _lists(at, [(rare, ids[rare], factor[rare]), (unspelt, spell_key(ids[unspelt]), factor[unspelt]), *v["doubt"]], TERM)
-    columns = [pa.array(v["count"][at] < 0), pa.array(v["value"][at]), terms, _lists(at, v["unheld"], STEPS)]
-    rows = pa.StructArray.from_arrays(columns, fields=list(OPEN))
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(document[at], np.arange(n + 1)).astype(np.int32)), rows)
+    terms = [(rare, ids[rare], factor[rare]), (unspelt, spell_key(ids[unspelt]), factor[unspelt]), *v["doubt"]]
+    needs = np.zeros(len(ids), np.int8)
+    key, times = np.zeros(len(ids), np.uint64), np.zeros(len(ids))
+    for at, *own in terms:
+        needs[at] += 1
+        key[at], times[at] = own
+    for at, *_ in v["unheld"]:
+        needs[at] = 2
+    alone, others = np.flatnonzero(needs == 1), np.flatnonzero(needs > 1)
+    some = lambda found: [tuple(c[needs[x[0]] > 1] for c in x) for x in found]
+
+    def by_document(at: np.ndarray, columns: list, kind: pa.StructType) -> pa.Array:
+        rows = pa.StructArray.from_arrays([pa.array(v["count"][at] < 0), pa.array(v["value"][at]), *columns], fields=list(kind))
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(document[at], np.arange(n + 1)).astype(np.int32)), rows)
+
+    return (
+        by_document(alone, [pa.array(signed(key[alone])), pa.array(times[alone])], ALONE),
+        by_document(others, [_lists(others, some(terms), TERM), _lists(others, some(v["unheld"]), STEPS)], OPEN),
+    )
 
 
 def _resolved(first: DataFrame, rare: DataFrame, states: DataFrame, entries: DataFrame, h: Held) -> DataFrame:
@@ -658,9 +676,7 @@ def _resolved(first: DataFrame, rare: DataFrame, states: DataFrame, entries: Dat
 
     Those that wait for one count are summed at once. The terms and contexts of the others go to their tables alone and meet again by token.
     """
-    tokens = first.select("row", F.posexplode("open").alias("at", "t")).select("row", "at", "t.*")
     values = rare.select(F.col("key").alias("k"), "value")
-    alone = (F.size("terms") == 1) & (F.size("contexts") == 0)
 
     def looked_up(some: DataFrame) -> DataFrame:
         return some.join(values, F.col("key") == F.col("k"), "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
@@ -672,9 +688,9 @@ def _resolved(first: DataFrame, rare: DataFrame, states: DataFrame, entries: Dat
         )
 
     own = F.col("plus") + F.col("factor") * F.col("value")
-    one = looked_up(tokens.filter(alone).select("row", "rare", "plus", F.col("terms")[0].alias("t")).select("row", "rare", "plus", "t.*"))
+    one = looked_up(first.select("row", F.explode("alone").alias("t")).select("row", "t.*"))
     ones = summed(one.select("row", F.when(F.col("rare"), F.col("value")).alias("count"), own.alias("p")))
-    more = tokens.filter(~alone)
+    more = first.select("row", F.posexplode("open").alias("at", "t")).select("row", "at", "t.*")
     terms = looked_up(more.select("row", "at", "rare", F.posexplode("terms").alias("k0", "t")).select("row", "at", "rare", "k0", "t.*"))
     steps = more.select("row", "at", F.posexplode("contexts").alias("level", "c")).select("row", "at", "level", "c.*")
     state = states.filter(F.col("places") < h.places).select(F.col("context").alias("s"), "rest", "total")
@@ -714,7 +730,7 @@ def score(
         spelt = materialize(spellings(materialize(words, "words"), codes), "spellings")
         values = values.unionByName(spelt.select(F.col("word").alias("key"), (h.distinct * F.pow(F.lit(10.0), F.col("spelt"))).alias("value")))
     more = _resolved(first, values, states, entries, h)
-    return first.drop("open", "unspelt").join(more, "row", "left").select(
+    return first.drop("alone", "open", "unspelt").join(more, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(h.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
